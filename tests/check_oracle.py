@@ -80,7 +80,7 @@ def main():
     from starloom.plans.catalogue import QUERIES
     from starloom.plans.views import Tables
 
-    conf = {"spark__sql__shuffle__partitions": "8", "spark__driver__memory": "12g"}
+    conf = {"spark__ui__showConsoleProgress": "false", "spark__sql__shuffle__partitions": "8", "spark__driver__memory": "12g"}
     if a.hot:
         conf["spark__starloom__hotRows"] = a.hot
     spark = get_spark("check", "local[8]", **conf)
