@@ -100,18 +100,22 @@ def select_fields(df: DataFrame, name: str, fields: list[str]) -> DataFrame:
     return df.withColumn(name, F.transform(name, lambda x: F.struct(*[x[f].alias(f) for f in fields])))
 
 
+def _with_value(name: str, by: str, value) -> Column:
+    return F.filter(name, lambda x: x[by] == value)
+
+
 def count_nested(df: DataFrame, keys: list[str], name: str, by: str | None = None, values: list | None = None) -> DataFrame:
     """List length per object, or one count per value of a field (0 where absent)."""
     size = lambda c: F.greatest(F.lit(0), F.coalesce(F.size(c), F.lit(0))).cast("long")
     if by is None:
         return df.groupBy(*keys).agg(F.sum(size(F.col(name))).alias(f"n_{name}"))
-    aggs = [F.sum(size(F.filter(name, lambda x, v=v: x[by] == v))).alias(f"n_{name}_{v}") for v in values]
+    aggs = [F.sum(size(_with_value(name, by, v))).alias(f"n_{name}_{v}") for v in values]
     return df.groupBy(*keys).agg(*aggs)
 
 
 def split_by(df: DataFrame, name: str, by: str, values: list) -> DataFrame:
     """One list per value of a field; the source list is dropped."""
-    return df.withColumns({f"{name}_{v}": F.filter(name, lambda x, v=v: x[by] == v) for v in values}).drop(name)
+    return df.withColumns({f"{name}_{v}": _with_value(name, by, v) for v in values}).drop(name)
 
 
 def long_enough(df: DataFrame, keys: list[str], lists: list[str], min_len: int) -> DataFrame:

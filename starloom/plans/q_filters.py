@@ -260,9 +260,9 @@ def union_by_name(t):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("set_except", "SELECT objectId FROM sky_object EXCEPT SELECT diaObjectId FROM object_version")
+@query("set_except", "SELECT objectId FROM sky_object EXCEPT SELECT diaObjectId FROM object_version WHERE psfFluxMean > 100000")
 def set_except(t):
-    return t("sky_object").select("objectId").subtract(t("object_version").select(F.col("diaObjectId").alias("objectId")))
+    return t("sky_object").select("objectId").subtract(t("object_version").where("psfFluxMean > 100000").select(F.col("diaObjectId").alias("objectId")))
 
 
 @query("set_intersect", "SELECT objectId FROM sky_object INTERSECT SELECT objectId FROM dia_source")

@@ -12,6 +12,7 @@ from starloom.functions.healpix import with_healpix
 from starloom.operators import nested
 from starloom.operators.match import matched_ids
 from starloom.operators.regions import BoxSearch, ConeSearch, StackedSearch
+from starloom.operators.stats import column_statistics
 from starloom.plans.registry import query, rnd
 from starloom.session import scratch_path
 from starloom.sources import catalogs, readers, storage
@@ -32,7 +33,7 @@ HEALPIX_CTES = """WITH hp0 AS (SELECT objectId, ra, dec, sin(radians(dec)) AS z,
  hp3 AS (SELECT *, CASE WHEN eq THEN CASE WHEN (jp >> {order}) = (jm >> {order}) THEN (jp >> {order}) | 4 WHEN (jp >> {order}) < (jm >> {order}) THEN jp >> {order} ELSE (jm >> {order}) + 8 END
    WHEN z >= 0 THEN q ELSE q + 8 END AS face,
    CASE WHEN eq THEN jm & {mask} WHEN z >= 0 THEN {ns} - jm - 1 ELSE jp END AS ix, CASE WHEN eq THEN {ns} - (jp & {mask}) - 1 WHEN z >= 0 THEN {ns} - jp - 1 ELSE jm END AS iy FROM hp2),
- hp AS (SELECT objectId, ra, dec, face * ({ns}::BIGINT * {ns}) + CAST(list_sum(list_transform(range({order}), i -> (((ix >> i) & 1) << (2 * i)) + (((iy >> i) & 1) << (2 * i + 1)))) AS BIGINT) AS pixel FROM hp3)"""
+ hp AS (SELECT objectId, ra, dec, face * ({ns}::BIGINT * {ns}) + CAST(list_sum(list_transform(range({order}), lambda i: (((ix >> i) & 1) << (2 * i)) + (((iy >> i) & 1) << (2 * i + 1)))) AS BIGINT) AS pixel FROM hp3)"""
 
 TILE_CTES = """lv AS (SELECT o AS ord, pixel >> CAST(2 * ({max} - o) AS BIGINT) AS pix, count(*) AS n FROM hp, range({max} + 1) r(o) GROUP BY 1, 2),
  tiles AS (SELECT c.ord, c.pix, c.n FROM lv c LEFT JOIN lv p ON p.ord = c.ord - 1 AND p.pix = (c.pix >> 2) WHERE (c.n <= {thr} OR c.ord = {max}) AND (c.ord = 0 OR p.n > {thr}))"""
@@ -60,13 +61,13 @@ def scan_filters(t):
 
 @query(
     "scan_region",
-    """SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM sky_object WHERE degrees(2 * asin(least(1e0, sqrt(power(sin(radians(dec - 10) / 2), 2)
-       + cos(radians(dec)) * cos(radians(10e0)) * power(sin(radians(ra - 40) / 2), 2))))) <= 25 AND (ra >= 350 OR ra <= 45)""",
+    """SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM sky_object WHERE degrees(2 * asin(least(1e0, sqrt(power(sin(radians(dec + 26) / 2), 2)
+       + cos(radians(dec)) * cos(radians(-26e0)) * power(sin(radians(ra - 350) / 2), 2))))) <= 25 AND (ra >= 350 OR ra <= 45)""",
 )
 def scan_region(t):
     path = scratch_path(t.spark, "region")
     catalogs.write_catalog(t("sky_object"), path, catalogs.CatalogInfo(**OBJ_INFO))
-    region = StackedSearch((ConeSearch(40.0, 10.0, 25 * 3600.0), BoxSearch((350.0, 45.0))))
+    region = StackedSearch((ConeSearch(350.0, -26.0, 25 * 3600.0), BoxSearch((350.0, 45.0))))
     df = catalogs.open_catalog(t.spark, path, ["objectId", "ra", "dec"], region=region)
     return df.select("objectId", rnd("ra").alias("ra"), rnd("dec").alias("dec"))
 

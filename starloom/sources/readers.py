@@ -33,6 +33,10 @@ def clean(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in fl})
 
 
+def _pick(name: str, fields: list[str]) -> Column:
+    return F.transform(name, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name)
+
+
 def project(df: DataFrame, columns: list[str] | str | None, default: list[str] | None = None) -> DataFrame:
     """Select named columns, all, or the default set.
 
@@ -56,8 +60,7 @@ def project(df: DataFrame, columns: list[str] | str | None, default: list[str] |
         if head in missing:
             continue
         have = df.schema[head].dataType.elementType.fieldNames()
-        keep = [f for f in leaves if f in have]
-        out.append(F.transform(head, lambda x, keep=keep: F.struct(*[x[f].alias(f) for f in keep])).alias(head))
+        out.append(_pick(head, [f for f in leaves if f in have]))
     return df.select(*out)
 
 
