@@ -1,6 +1,6 @@
 """All registered queries; importing the modules fills the registry."""
 
-from starloom.plans import q_filters, q_nested, q_scans, q_sky, q_stats  # noqa: F401
+from starloom.plans import q_filters, q_nested, q_period, q_scans, q_sky, q_stats  # noqa: F401
 from starloom.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
