@@ -96,7 +96,7 @@ def ordered(
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     new = {n: F.sum(e).over(upto) for n, e in sums.items()}
     new |= {n: F.lag(c).over(w) for n, c in lags.items()}
-    new["__rn"] = F.row_number().over(w).cast("long")
+    new["__rl"] = F.row_number().over(w).cast("long")
     local = cut.withColumns(new)
 
     # one row per (group, piece): far fewer than rows, at most one per range partition and group
@@ -114,11 +114,11 @@ def ordered(
 
     out = same_keys(local, totals, [*keys, PIECE], "left")
     fix = {n: F.when(F.col(f"__c_{n}").isNull(), F.col(n)).otherwise(F.coalesce(F.col(n), F.lit(0)) + F.col(f"__c_{n}")) for n in sums}
-    fix |= {n: F.when(F.col("__rn") == 1, F.col(f"__prev.{n}")).otherwise(F.col(n)) for n in lags}
+    fix |= {n: F.when(F.col("__rl") == 1, F.col(f"__prev.{n}")).otherwise(F.col(n)) for n in lags}
     if rank:
-        fix[rank] = F.col("__rn") + F.coalesce(F.col("__c_rn"), F.lit(0))
+        fix[rank] = F.col("__rl") + F.coalesce(F.col("__c_rn"), F.lit(0))
     out = out.withColumns(fix)
-    return out.drop(PIECE, "__rn", *carry)
+    return out.drop(PIECE, "__rl", *carry)
 
 
 def percentiles(
