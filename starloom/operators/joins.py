@@ -68,7 +68,7 @@ def nearest_in_time(df: DataFrame, keys: list[str], time: str, value: str, start
     """
     n = int(round((stop - start) / step)) + 1
     obs = df.select(*keys, F.col(time).alias("__t"), F.struct(F.col(time).alias("t"), F.col(tie).alias("id"), F.col(value).alias("v")).alias("__o"), F.lit(None).cast("int").alias("__g"))
-    grid = df.select(*keys).distinct().withColumn("__g", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    grid = df.groupBy(*keys).agg(F.lit(1).alias("__one")).drop("__one").withColumn("__g", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     grid = grid.select(*keys, (F.lit(start) + F.col("__g") * F.lit(step)).alias("__t"), F.lit(None).cast(obs.schema["__o"].dataType).alias("__o"), "__g")
     both = obs.unionByName(grid)
     return _last_and_next(both, keys).where(F.col("__g").isNotNull()).select(
@@ -84,17 +84,20 @@ def _last_and_next(both: DataFrame, keys: list[str]) -> DataFrame:
 
     # rows before grid points at equal times, so a row at the grid time is its own "last"
     order = ["__t", F.col("__g").isNotNull(), F.col("__o.id")]
+    # the next row is the last one in reverse order: a running frame, where a frame
+    # that reaches forward would be computed anew for every row
+    back = [F.desc("__t"), F.col("__g").isNotNull().desc(), F.desc("__o.id")]
     if not is_hot(both, keys):
-        w = W.partitionBy(*keys).orderBy(*order)
+        w = W.partitionBy(*keys)
         return both.withColumns({
-            "__last": F.last("__o", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)),
-            "__next": F.first("__o", ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)),
+            "__last": F.last("__o", ignorenulls=True).over(w.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)),
+            "__next": F.last("__o", ignorenulls=True).over(w.orderBy(*back).rowsBetween(W.unboundedPreceding, 0)),
         })
     cut = cut_pieces(both, keys, order)
-    w = W.partitionBy(*keys, PIECE).orderBy(*order)
+    w = W.partitionBy(*keys, PIECE)
     local = cut.withColumns({
-        "__l": F.last("__o", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)),
-        "__f": F.first("__o", ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)),
+        "__l": F.last("__o", ignorenulls=True).over(w.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)),
+        "__f": F.last("__o", ignorenulls=True).over(w.orderBy(*back).rowsBetween(W.unboundedPreceding, 0)),
     })
     ends = cut.groupBy(*keys, PIECE).agg(F.max("__o").alias("__hi"), F.min("__o").alias("__lo"))
     wp = W.partitionBy(*keys).orderBy(PIECE)

@@ -24,7 +24,8 @@ from starloom.operators.ordered import top_k
 from starloom.session import hot_rows as _limit
 from starloom.session import materialize
 
-# Rows per cell above which the crowded-cell steps are used.
+# Rows per cell above which smaller cells, and then the crowded-cell steps, are used.
+SPARSE_CELL = 64
 DENSE_CELL = 2_000
 _SHRINK = (256.0, 16.0)
 
@@ -63,8 +64,9 @@ def touched_cells(df: DataFrame, ra: str, dec: str, radius_deg: float, h: float)
     return n.withColumn("__c", F.explode(F.sequence(lo, last))).withColumn("__c", F.pmod("__c", "__n")).drop("__w", "__n")
 
 
-def _cell_size(radius_deg: float) -> float:
-    return min(30.0, max(8.0 * radius_deg, 1e-6))
+def _cell_size(radius_deg: float, factor: float) -> float:
+    """Cells of 8 radii make few copies, cells of 2 radii few candidates."""
+    return min(30.0, max(factor * radius_deg, 1e-6))
 
 
 def close_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, cell_deg: float | None = None) -> DataFrame:
@@ -74,7 +76,7 @@ def close_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, cell_de
     Gives lid, rid and _dist_arcsec.
     """
     r = radius_arcsec / 3600.0
-    h = cell_deg or _cell_size(r)
+    h = cell_deg or _cell_size(r, 2.0)
     a = home_cell(left.select("lid", "lra", "ldec"), "lra", "ldec", h)
     b = touched_cells(right.select("rid", "rra", "rdec"), "rra", "rdec", r, h)
     # a cheap declination test first, so most candidates never reach the trigonometry
@@ -83,8 +85,7 @@ def close_pairs(left: DataFrame, right: DataFrame, radius_arcsec: float, cell_de
     return pairs.where(F.col("_dist_arcsec") <= radius_arcsec).select("lid", "rid", "_dist_arcsec")
 
 
-def _fullest_cell(right: DataFrame, radius_arcsec: float) -> int:
-    h = _cell_size(radius_arcsec / 3600.0)
+def _fullest_cell(right: DataFrame, h: float) -> int:
     n = home_cell(right, "rra", "rdec", h).groupBy("__z", "__c").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     return n or 0
 
@@ -98,7 +99,12 @@ def nearest(
     """
     order = ["_dist_arcsec", "rid"]
     limit = dense_cell or min(DENSE_CELL, _limit(left.sparkSession))
-    if _fullest_cell(right, radius_arcsec) <= limit:
+    wide = cell_deg or _cell_size(radius_arcsec / 3600.0, 8.0)
+    fullest = _fullest_cell(right, wide)
+    if fullest <= min(SPARSE_CELL, limit):
+        return top_k(close_pairs(left, right, radius_arcsec, wide), ["lid"], order, k)
+    # a cell of 2 radii lies in at most four cells of 8, so it cannot be fuller than this
+    if 4 * fullest <= limit or _fullest_cell(right, _cell_size(radius_arcsec / 3600.0, 2.0)) <= limit:
         return top_k(close_pairs(left, right, radius_arcsec, cell_deg), ["lid"], order, k)
 
     thin = top_k(right, ["rra", "rdec"], ["rid"], k, "__k").drop("__k")

@@ -325,7 +325,7 @@ def scan_all(
     df: DataFrame, keys: list[str], model, grid: dict[str, Column], time="mjd", flux="psfFlux", err: str | None = "psfFluxErr",
     tie: str | None = None, min_points: int = 4, max_list: int | None = None,
 ) -> DataFrame:
-    """Scores of all grid points as arrays of at most BLOCK values.
+    """Scores of all grid points as arrays of at most BLOCK values, NaN where undefined.
 
     Columns: keys, k0 (first grid point of the block), scores, f0, step, w, wy, wyy.
     """
@@ -337,12 +337,13 @@ def scan_all(
         s = _scored(_partial_sums(lists, keys, model, ref), keys, model)
         blk = (F.floor(F.col("k") / BLOCK) * BLOCK).cast("int")
         out = s.groupBy(*keys, blk.alias("k0")).agg(F.array_sort(F.collect_list(F.struct("k", "score"))).alias("__s"), *[F.first(c).alias(c) for c in scal])
-        return out.withColumn("scores", F.transform("__s", lambda x: x["score"])).drop("__s").select(*keys, "k0", "scores", *scal)
+        return out.withColumn("scores", F.transform("__s", lambda x: F.coalesce(x["score"], F.lit(float("nan"))))).drop("__s").select(*keys, "k0", "scores", *scal)
     fields = _key_fields(lists, keys) + [T.StructField("k0", T.IntegerType()), T.StructField("scores", T.ArrayType(T.DoubleType()))] + [T.StructField(c, T.DoubleType()) for c in scal]
     cols = [f.name for f in fields]
 
     def run(frames):
         for pdf in frames:
+            out = []
             for row in pdf.itertuples(index=False):
                 t, y, w = _curve(row)
                 g = {"f0": row.f0, "step": row.step}
@@ -352,8 +353,12 @@ def scan_all(
                     ks = np.arange(lo, min(nf, lo + BLOCK))
                     size = max(1, _CELLS // max(1, len(t)))
                     p = np.concatenate([model.score(model.sums(t, y, w, k, g), sc[1], sc[2], sc[3]) for k in np.split(ks, range(size, len(ks), size))])
-                    scores = [None if not np.isfinite(v) else float(v) for v in np.where(model.valid(ks, g), p, np.nan)]
-                    yield pd.DataFrame([(*[getattr(row, c) for c in keys], lo, scores, row.f0, row.step, *sc[1:4])], columns=cols)
+                    scores = np.where(model.valid(ks, g) & np.isfinite(p), p, np.nan)
+                    out.append((*[getattr(row, c) for c in keys], lo, scores, row.f0, row.step, *sc[1:4]))
+                    if len(out) * BLOCK >= _CELLS:
+                        yield pd.DataFrame(out, columns=cols)
+                        out = []
+            yield pd.DataFrame(out, columns=cols)
 
     return lists.mapInPandas(run, T.StructType(fields))
 
@@ -362,7 +367,7 @@ def explode_scores(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per grid point: keys, k, x = f0 + k * step, score."""
     e = df.select(*keys, "k0", "f0", "step", F.posexplode("scores").alias("pos", "score"))
     k = (F.col("k0") + F.col("pos")).cast("int")
-    return e.select(*keys, k.alias("k"), (F.col("f0") + k * F.col("step")).alias("x"), "score")
+    return e.select(*keys, k.alias("k"), (F.col("f0") + k * F.col("step")).alias("x"), F.when(~F.isnan("score"), F.col("score")).alias("score"))
 
 
 def combine_scores(df: DataFrame, keys: list[str], weight: Column) -> DataFrame:
@@ -377,7 +382,7 @@ def combine_scores(df: DataFrame, keys: list[str], weight: Column) -> DataFrame:
 
 def best_of_scores(df: DataFrame, keys: list[str]) -> DataFrame:
     """Best grid point over all blocks: k, x, score; the first of equals."""
-    tops = F.array_max(F.transform(F.filter(F.transform("scores", lambda s, i: F.struct(s.alias("score"), (-i).alias("neg"))), lambda s: s["score"].isNotNull()), lambda s: s))
+    tops = F.array_max(F.filter(F.transform("scores", lambda s, i: F.struct(s.alias("score"), (-i).alias("neg"))), lambda s: ~F.isnan(s["score"])))
     t = df.select(*keys, "k0", "f0", "step", tops.alias("__t")).where(F.col("__t").isNotNull())
     k = (F.col("k0") - F.col("__t.neg")).cast("int")
     t = t.select(*keys, k.alias("k"), (F.col("f0") + k * F.col("step")).alias("x"), F.col("__t.score").alias("score"))

@@ -7,10 +7,10 @@ For a lag bin [a, b) the sums over pairs i < j are
 where S(x) is a running total over the observations before x.  With running
 totals of 1, t, f, f^2 and e^2 this gives the pair count, the summed lag, the
 summed squared difference and the summed squared errors.  Each observation
-asks for the totals at its own shifted edges; questions and observations are
-put in one time-ordered stream per light curve, so the work is
-rows * edges * log, not rows^2, and the stream of a huge light curve is cut
-into pieces by ``ordered``.
+asks for the totals at its own shifted edges, so the work is rows * edges * log,
+not rows^2.  Light curves of bounded length are packed and done by numpy in
+their task.  If any is longer, questions and observations are put in one
+time-ordered stream, which ``ordered`` cuts into pieces.
 
 Medians over pairs cannot be had from running totals.  Those forms take a
 ``max_lag`` and list only the pairs closer than it, joined by time bucket.
@@ -18,12 +18,17 @@ Medians over pairs cannot be had from running totals.  Those forms take a
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from starloom.operators.joins import close_in_time
-from starloom.operators.ordered import ordered, percentiles, same_keys, with_stats
+from starloom.operators.nested import MAX_LIST
+from starloom.operators.ordered import largest_group, ordered, percentiles, same_keys, with_stats
+from starloom.session import hot_rows
 
 KEYS = ["objectId", "band"]
 
@@ -40,6 +45,53 @@ def lag_sums(
     e2 = F.col(err) * F.col(err) if err else F.lit(0.0)
     base = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("f"), e2.alias("e2"), F.col(tie).alias("__tie"), edges.alias("__edges"))
     base = base.where(F.col("t").isNotNull() & F.col("f").isNotNull())
+    if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
+        return _lag_sums_packed(base, keys)
+    return _lag_sums_stream(base, keys)
+
+
+def _lag_sums_packed(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Light curves of bounded length: running totals and edge positions by numpy in the task that holds the list."""
+    lists = base.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("t", "__tie", "f", "e2"))).alias("lc"), F.first("__edges").alias("edges"))
+    lists = lists.select(*keys, "edges", *[F.transform("lc", _field(c)).alias(c) for c in ("t", "f", "e2")])
+    types = [f for f in lists.schema.fields if f.name in keys]
+    out = [("bin", T.IntegerType()), ("n", T.LongType()), ("s_dt", T.DoubleType()), ("s_df2", T.DoubleType()), ("s_err2", T.DoubleType())]
+    schema = T.StructType(types + [T.StructField(c, ty) for c, ty in out])
+
+    def run(frames):
+        for pdf in frames:
+            parts = []
+            for row in pdf.itertuples(index=False):
+                t, f, e2, edges = (np.asarray(x, dtype=float) for x in (row.t, row.f, row.e2, row.edges))
+                q = _totals_at(t, f - f.mean(), e2, edges)
+                d = np.diff(q, axis=1)
+                one = {k: [getattr(row, k)] * d.shape[1] for k in keys}
+                one |= {"bin": np.arange(d.shape[1]), "n": d[0].round().astype(np.int64), "s_dt": d[1], "s_df2": d[2], "s_err2": d[3]}
+                parts.append(pd.DataFrame(one))
+            if parts:
+                yield pd.concat(parts)[[f.name for f in schema.fields]]
+
+    return lists.mapInPandas(run, schema)
+
+
+def _field(name: str):
+    return lambda x: x[name]
+
+
+def _totals_at(t, f, e2, edges):
+    """Sums over pairs of lag below each edge (plus a constant per edge): n, lag, squared difference, squared errors."""
+    pre = [np.concatenate([[0.0], np.cumsum(x)]) for x in (np.ones(len(t)), t - t[0], f, f * f, e2)]
+    tc = t - t[0]
+    q = np.empty((4, len(edges)))
+    for i, edge in enumerate(edges):
+        pos = np.arange(1, len(t) + 1) if edge <= 0 else np.searchsorted(t, t + edge, side="left")
+        n, st, sf, sff, se = (p[pos] for p in pre)
+        q[:, i] = n.sum(), (st - n * tc).sum(), (sff - 2 * f * sf + f * f * n).sum(), (se + n * e2).sum()
+    return q
+
+
+def _lag_sums_stream(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Light curves of any length: questions and observations as one ordered stream."""
     base = with_stats(base, keys, __tm=F.avg("t"), __fm=F.avg("f"))
     base = base.select(*keys, "t", (F.col("t") - F.col("__tm")).alias("tc"), (F.col("f") - F.col("__fm")).alias("f"), "e2", "__tie", "__edges")
     zero = F.lit(0.0)

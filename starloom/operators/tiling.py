@@ -42,13 +42,13 @@ def tile_of_pixels(counts: DataFrame, tiles: DataFrame, max_order: int) -> DataF
     return cand.join(tiles.select("order", "pixel"), ["order", "pixel"]).select("fine", F.col("order").alias("Norder"), F.col("pixel").alias("Npix"))
 
 
-def assign_tiles(df: DataFrame, threshold: int, max_order: int, index: str = "healpix29") -> DataFrame:
-    """Add Norder, Dir and Npix to each row.
+def assign_tiles(df: DataFrame, threshold: int, max_order: int, index: str = "healpix29", counts: DataFrame | None = None) -> DataFrame:
+    """Add Norder, Dir and Npix to each row; ``counts`` are its pixel counts if already stored.
 
     The map has one row per occupied pixel.  No broadcast is forced: the join
     is by size, and a crowded pixel is split by the skew join.
     """
-    counts = pixel_counts(df, max_order, index)
+    counts = pixel_counts(df, max_order, index) if counts is None else counts
     tiles = adaptive_tiles(counts, threshold, max_order)
     where = tile_of_pixels(counts, tiles, max_order)
     keyed = df.withColumn("fine", ancestor(index, max_order))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from starloom.functions.healpix import with_healpix
 from starloom.operators.match import margin_rows
-from starloom.operators.tiling import assign_tiles
+from starloom.operators.tiling import assign_tiles, pixel_counts
+from starloom.session import materialize
 from starloom.sources.readers import project
 
 INDEX = "_healpix_29"
@@ -48,7 +49,7 @@ def from_dataframe(df: DataFrame, ra: str = "ra", dec: str = "dec", threshold: i
     return assign_tiles(with_healpix(df, ra, dec, name=INDEX), threshold, highest_order, INDEX)
 
 
-def write_catalog(df: DataFrame, path: str, info: CatalogInfo, max_records_per_file: int = 5_000_000) -> CatalogInfo:
+def write_catalog(df: DataFrame, path: str, info: CatalogInfo, max_records_per_file: int = 5_000_000, rows_per_task: int = 2_000_000) -> CatalogInfo:
     """Write a tiled catalog.
 
     Range partitioning on (tile, index) puts neighbouring rows together, gives
@@ -58,9 +59,13 @@ def write_catalog(df: DataFrame, path: str, info: CatalogInfo, max_records_per_f
     base = df.drop("Norder", "Dir", "Npix")
     if INDEX not in base.columns:
         base = with_healpix(base, info.ra_column, info.dec_column, name=INDEX)
-    tiled = assign_tiles(base, info.threshold, info.max_order, INDEX)
+    # one counting pass; its small result is stored and serves the tiles, the map and the task count
+    counts = materialize(pixel_counts(base, info.max_order, INDEX))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_task))
+    tiled = assign_tiles(base, info.threshold, info.max_order, INDEX, counts)
     (
-        tiled.repartitionByRange("Norder", "Npix", INDEX)
+        tiled.repartitionByRange(tasks, "Norder", "Npix", INDEX)
         .sortWithinPartitions("Norder", "Npix", INDEX)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
