@@ -46,27 +46,39 @@ def lag_sums(
     base = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("f"), e2.alias("e2"), F.col(tie).alias("__tie"), edges.alias("__edges"))
     base = base.where(F.col("t").isNotNull() & F.col("f").isNotNull())
     if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
-        return _lag_sums_packed(base, keys)
+        return _lag_sums_packed(base, keys).drop("lo", "hi")
     return _lag_sums_stream(base, keys)
 
 
-def _lag_sums_packed(base: DataFrame, keys: list[str]) -> DataFrame:
-    """Light curves of bounded length: running totals and edge positions by numpy in the task that holds the list."""
+def _lag_sums_packed(base: DataFrame, keys: list[str], log_bins: int | None = None) -> DataFrame:
+    """Light curves of bounded length: running totals and edge positions by numpy in the task that holds the list.
+
+    With ``log_bins`` the edges come from each light curve itself, from twice
+    its smallest gap to half its span; columns lo and hi tell them.
+    """
     lists = base.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("t", "__tie", "f", "e2"))).alias("lc"), F.first("__edges").alias("edges"))
     lists = lists.select(*keys, "edges", *[F.transform("lc", _field(c)).alias(c) for c in ("t", "f", "e2")])
     types = [f for f in lists.schema.fields if f.name in keys]
-    out = [("bin", T.IntegerType()), ("n", T.LongType()), ("s_dt", T.DoubleType()), ("s_df2", T.DoubleType()), ("s_err2", T.DoubleType())]
+    out = [("bin", T.IntegerType()), ("n", T.LongType()), ("s_dt", T.DoubleType()), ("s_df2", T.DoubleType()), ("s_err2", T.DoubleType()), ("lo", T.DoubleType()), ("hi", T.DoubleType())]
     schema = T.StructType(types + [T.StructField(c, ty) for c, ty in out])
 
     def run(frames):
         for pdf in frames:
             parts = []
             for row in pdf.itertuples(index=False):
-                t, f, e2, edges = (np.asarray(x, dtype=float) for x in (row.t, row.f, row.e2, row.edges))
+                t, f, e2 = (np.asarray(x, dtype=float) for x in (row.t, row.f, row.e2))
+                if log_bins:
+                    lo, hi = (2 * np.diff(t).min(), 0.5 * (t[-1] - t[0])) if len(t) > 1 else (0.0, 0.0)
+                    if not 0 < lo < hi:
+                        continue
+                    edges = 10 ** (np.log10(lo) + np.arange(log_bins + 1) * ((np.log10(hi) - np.log10(lo)) / log_bins))
+                else:
+                    edges = np.asarray(row.edges, dtype=float)
+                    lo, hi = edges[0], edges[-1]
                 q = _totals_at(t, f - f.mean(), e2, edges)
                 d = np.diff(q, axis=1)
                 one = {k: [getattr(row, k)] * d.shape[1] for k in keys}
-                one |= {"bin": np.arange(d.shape[1]), "n": d[0].round().astype(np.int64), "s_dt": d[1], "s_df2": d[2], "s_err2": d[3]}
+                one |= {"bin": np.arange(d.shape[1]), "n": d[0].round().astype(np.int64), "s_dt": d[1], "s_df2": d[2], "s_err2": d[3], "lo": lo, "hi": hi}
                 parts.append(pd.DataFrame(one))
             if parts:
                 yield pd.concat(parts)[[f.name for f in schema.fields]]
@@ -90,6 +102,58 @@ def _totals_at(t, f, e2, edges):
     return q
 
 
+def _kth_lag(t, rank, below, lo, hi):
+    """The lag of 0-based ``rank`` among all pairs, known to lie in [lo, hi); ``below`` pairs are closer than lo.
+
+    Halves the interval by counting pairs below a lag until about as many pairs
+    as points are left in it, and picks among those.
+    """
+    i = np.arange(len(t))
+
+    def first_at(x):
+        return np.searchsorted(t, t + x, side="left") if x > 0 else i + 1
+
+    a, b = first_at(lo), first_at(hi)
+    for _ in range(60):
+        mid = 0.5 * (lo + hi)
+        if (b - a).sum() <= 4 * len(t) + 64 or not lo < mid < hi:
+            break
+        m = first_at(mid)
+        n = int((m - i - 1).sum())
+        if n <= rank:
+            lo, a, below = mid, m, n
+        else:
+            hi, b = mid, m
+    count = b - a
+    left = np.repeat(i, count)
+    right = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(a, count)
+    lags = t[right] - t[left]
+    return np.partition(lags, rank - below)[rank - below]
+
+
+def median_lags(df: DataFrame, keys: list[str], edges: list[float], time: str = "mjd", tie: str = "visit") -> DataFrame:
+    """Median pair lag per (keys, bin) for light curves of bounded length, by counting."""
+    lists = df.where(F.col(time).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(time).cast("double"))).alias("t"))
+    types = [f for f in lists.schema.fields if f.name in keys]
+    schema = T.StructType(types + [T.StructField("bin", T.IntegerType()), T.StructField("tau_median", T.DoubleType())])
+
+    def run(frames):
+        for pdf in frames:
+            out = []
+            for row in pdf.itertuples(index=False):
+                t = np.asarray(row.t, dtype=float)
+                i = np.arange(len(t))
+                below = [0 if e <= 0 else int((np.searchsorted(t, t + e, side="left") - i - 1).sum()) for e in edges]
+                for b in range(len(edges) - 1):
+                    n = below[b + 1] - below[b]
+                    if n > 0:
+                        ranks = {below[b] + (n - 1) // 2, below[b] + n // 2}
+                        out.append((*[getattr(row, k) for k in keys], b, float(np.mean([_kth_lag(t, r, below[b], edges[b], edges[b + 1]) for r in ranks]))))
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+
+    return lists.mapInPandas(run, schema)
+
+
 def _lag_sums_stream(base: DataFrame, keys: list[str]) -> DataFrame:
     """Light curves of any length: questions and observations as one ordered stream."""
     base = with_stats(base, keys, __tm=F.avg("t"), __fm=F.avg("f"))
@@ -134,15 +198,21 @@ def fixed_edges(values) -> Column:
 def sf_log_bins(df: DataFrame, nstep: int = 50, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
     """sqrt(mean squared difference) in log bins from twice the smallest gap to half the span."""
     keys = list(keys)
-    gaps = ordered(df.select(*keys, time, value, tie), keys, [time, tie], lags={"__p": time})
-    lim = gaps.groupBy(*keys).agg((2 * F.min(F.col(time) - F.col("__p"))).alias("__lo"), (0.5 * (F.max(time) - F.min(time))).alias("__hi"))
-    lim = lim.where((F.col("__lo") > 0) & (F.col("__hi") > F.col("__lo")))
-    edged = same_keys(df, lim, keys, "inner")
-    s = lag_sums(edged, keys, log_edges(F.col("__lo"), F.col("__hi"), nstep), time, value, tie=tie)
-    s = same_keys(s, lim, keys, "inner")
-    step = (F.log10("__hi") - F.log10("__lo")) / nstep
+    if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
+        base = df.select(
+            *keys, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("f"), F.lit(0.0).alias("e2"), F.col(tie).alias("__tie"), F.array().cast("array<double>").alias("__edges")
+        ).where(F.col("t").isNotNull() & F.col("f").isNotNull())
+        s = _lag_sums_packed(base, keys, nstep)
+    else:
+        gaps = ordered(df.select(*keys, time, value, tie), keys, [time, tie], lags={"__p": time})
+        lim = gaps.groupBy(*keys).agg((2 * F.min(F.col(time) - F.col("__p"))).alias("lo"), (0.5 * (F.max(time) - F.min(time))).alias("hi"))
+        lim = lim.where((F.col("lo") > 0) & (F.col("hi") > F.col("lo")))
+        edged = same_keys(df, lim, keys, "inner")
+        s = lag_sums(edged, keys, log_edges(F.col("lo"), F.col("hi"), nstep), time, value, tie=tie)
+        s = same_keys(s, lim, keys, "inner")
+    step = (F.log10("hi") - F.log10("lo")) / nstep
     return s.select(
-        *keys, "bin", F.pow(F.lit(10.0), F.log10("__lo") + F.col("bin") * step).alias("tau"), F.when(F.col("n") > 0, F.sqrt(F.greatest(F.lit(0.0), "s_df2") / F.col("n"))).alias("SF"), F.col("n").alias("N")
+        *keys, "bin", F.pow(F.lit(10.0), F.log10("lo") + F.col("bin") * step).alias("tau"), F.when(F.col("n") > 0, F.sqrt(F.greatest(F.lit(0.0), "s_df2") / F.col("n"))).alias("SF"), F.col("n").alias("N")
     )
 
 
@@ -157,6 +227,8 @@ def sf_fixed_bins(df: DataFrame, edges: list[float], keys=KEYS, time: str = "mjd
     s = s.select(*keys, "bin", F.when(F.col("n") > 0, F.sqrt(F.greatest(F.lit(0.0), "s_df2") / F.col("n")) / F.sqrt(F.lit(2.0))).alias("SF"), F.col("n").alias("N"))
     if not medians:
         return s
+    if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
+        return same_keys(s, median_lags(df, keys, pos, time, tie), [*keys, "bin"], "left")
     p = close_in_time(df, keys, time, tie, [], pos[-1]).where(F.col("dt") < pos[-1])
     p = p.withColumn("bin", bin_of(F.col("dt"), pos)).where(F.col("bin").isNotNull())
     return same_keys(s, percentiles(p, [*keys, "bin"], "dt", {"tau_median": 0.5}), [*keys, "bin"], "left")
