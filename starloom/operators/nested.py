@@ -14,18 +14,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.ordered import largest_group, ordered
+from starloom.operators.ordered import is_hot, ordered
 from starloom.session import hot_rows
 
 MAX_LIST = 200_000
 
 
-def pack(df: DataFrame, keys: list[str], fields: list[str], order: list[str], name: str = "lc", max_list: int | None = None) -> DataFrame:
-    """Group rows into arrays of structs sorted by ``order`` (which come first in the struct)."""
+def pack(df: DataFrame, keys: list[str], fields: list[str], order: list[str], name: str = "lc", max_list: int | None = None, biggest: int | None = None) -> DataFrame:
+    """Group rows into arrays of structs sorted by ``order`` (which come first in the struct).
+
+    ``biggest`` is an upper bound of the rows per key, if one is known.
+    """
     limit = max_list or min(MAX_LIST, hot_rows(df.sparkSession))
     names = [*order, *[f for f in fields if f not in order]]
     rows = df.select(*keys, *[c for c in names if c not in keys])
-    if largest_group(rows, keys) <= limit:
+    if not is_hot(rows, keys, limit, biggest):
         rows = rows.withColumn("segment", F.lit(0))
     else:
         rows = ordered(rows, keys, order, rank="__rn").withColumn("segment", F.floor((F.col("__rn") - 1) / limit).cast("int"))

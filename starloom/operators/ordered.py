@@ -47,8 +47,12 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return _SEEN[tag]
 
 
-def is_hot(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> bool:
-    return largest_group(df, keys) > _limit(df.sparkSession, hot_rows)
+def is_hot(df: DataFrame, keys: list[str], hot_rows: int | None = None, biggest: int | None = None) -> bool:
+    """Whether a group exceeds the limit; a known upper bound within the limit saves the counting job."""
+    limit = _limit(df.sparkSession, hot_rows)
+    if biggest is not None and biggest <= limit:
+        return False
+    return largest_group(df, keys) > limit
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -87,16 +91,18 @@ def ordered(
     sums: dict[str, Column] | None = None,
     lags: dict[str, str] | None = None,
     hot_rows: int | None = None,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Rank, running sums and previous-row values within groups.
 
     rank   name of a 1-based row number column
     sums   name -> expression; sum from the first row of the group to this one
     lags   name -> column; its value in the previous row of the group
+    biggest  an upper bound of the group sizes, if one is known
     """
     sums, lags = sums or {}, lags or {}
     order = _cols(order)
-    if not is_hot(df, keys, hot_rows):
+    if not is_hot(df, keys, hot_rows, biggest):
         w = W.partitionBy(*keys).orderBy(*order)
         upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
         new = {n: F.sum(e).over(upto) for n, e in sums.items()}
@@ -136,7 +142,7 @@ def ordered(
 
 
 def percentiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], hot_rows: int | None = None
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], hot_rows: int | None = None, biggest: int | None = None
 ) -> DataFrame:
     """Exact linear-interpolated percentiles per group, nulls ignored.
 
@@ -145,7 +151,7 @@ def percentiles(
     order statistics of each probability are kept.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
-    if not is_hot(rows, keys, hot_rows):
+    if not is_hot(rows, keys, hot_rows, biggest):
         names = list(probs)
         q = rows.groupBy(*keys).agg(F.percentile(value, F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"))
         return q.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.nested import MAX_LIST, pack
-from starloom.operators.ordered import largest_group, same_keys
+from starloom.operators.ordered import is_hot, same_keys
 from starloom.session import hot_rows
 
 BLOCK = 4096
@@ -180,14 +180,13 @@ def auto_grid(min_period: float, max_period: float, samples_per_peak: int = 10):
     return {"f0": F.lit(lo), "step": step, "nf": (1 + F.round((hi - lo) / step)).cast("int")}
 
 
-def _arrays(df: DataFrame, keys, time, flux, err, tie, grid, min_points, limit) -> tuple[DataFrame, bool]:
+def _arrays(df: DataFrame, keys, time, flux, err, tie, grid, min_points, limit, biggest=None) -> tuple[DataFrame, bool]:
     """Packed rows (keys, segment, t, y, e, f0, step, nf) and whether any object has several segments."""
     weights = F.col(err).cast("double") if err else F.lit(1.0)
     rows = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(flux).cast("double").alias("y"), weights.alias("e"), *( [tie] if tie else []))
     rows = rows.where(F.col("t").isNotNull() & F.col("y").isNotNull() & (F.col("e") > 0))
-    biggest = largest_group(rows, keys)
-    parts = biggest > limit
-    lists = pack(rows, keys, ["y", "e"], ["t"] + ([tie] if tie else []), "lc", max_list=limit)
+    parts = is_hot(rows, keys, limit, biggest)
+    lists = pack(rows, keys, ["y", "e"], ["t"] + ([tie] if tie else []), "lc", max_list=limit, biggest=None if parts else limit)
     cols = {"t": F.transform("lc", lambda x: x["t"]), "y": F.transform("lc", lambda x: x["y"]), "e": F.transform("lc", lambda x: x["e"])}
     out = lists.withColumns(cols).drop("lc")
     if parts:
@@ -270,7 +269,7 @@ def _scored(sums: DataFrame, keys, model) -> DataFrame:
 
 def scan_best(
     df: DataFrame, keys: list[str], model, grid: dict[str, Column], time="mjd", flux="psfFlux", err: str | None = "psfFluxErr",
-    tie: str | None = None, min_points: int = 4, max_list: int | None = None,
+    tie: str | None = None, min_points: int = 4, max_list: int | None = None, biggest: int | None = None,
 ) -> DataFrame:
     """Best grid point of each light curve.
 
@@ -278,7 +277,7 @@ def scan_best(
     valid grid points n_scores, mean_score, std_score.
     """
     limit = max_list or min(MAX_LIST, hot_rows(df.sparkSession))
-    lists, parts = _arrays(df, keys, time, flux, err, tie, grid, min_points, limit)
+    lists, parts = _arrays(df, keys, time, flux, err, tie, grid, min_points, limit, biggest)
     ref = getattr(model, "t_ref", 0.0)
     names = [f"a{i}" for i in range(model.n_sums)]
     if parts:
@@ -323,14 +322,14 @@ def scan_best(
 
 def scan_all(
     df: DataFrame, keys: list[str], model, grid: dict[str, Column], time="mjd", flux="psfFlux", err: str | None = "psfFluxErr",
-    tie: str | None = None, min_points: int = 4, max_list: int | None = None,
+    tie: str | None = None, min_points: int = 4, max_list: int | None = None, biggest: int | None = None,
 ) -> DataFrame:
     """Scores of all grid points as arrays of at most BLOCK values, NaN where undefined.
 
     Columns: keys, k0 (first grid point of the block), scores, f0, step, w, wy, wyy.
     """
     limit = max_list or min(MAX_LIST, hot_rows(df.sparkSession))
-    lists, parts = _arrays(df, keys, time, flux, err, tie, grid, min_points, limit)
+    lists, parts = _arrays(df, keys, time, flux, err, tie, grid, min_points, limit, biggest)
     ref = getattr(model, "t_ref", 0.0)
     scal = ["f0", "step", "w", "wy", "wyy"]
     if parts:

@@ -252,12 +252,19 @@ def sf_equal_count(df: DataFrame, nbins: int, max_lag: float, keys=KEYS, time: s
     p = close_in_time(df, keys, time, tie, [value], max_lag)
     p = p.withColumn("df2", F.pow(F.col(f"{value}2") - F.col(f"{value}1"), 2)).select(*keys, "dt", "df2", f"{tie}1", f"{tie}2")
     total = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    r = same_keys(ordered(p, keys, ["dt", f"{tie}1", f"{tie}2"], rank="__r"), total, keys, "left")
+    bound = _pair_bound(df, keys)
+    r = same_keys(ordered(p, keys, ["dt", f"{tie}1", f"{tie}2"], rank="__r", biggest=bound), total, keys, "left")
     per = F.floor(F.col("__n") / nbins)
     b = F.least(F.lit(nbins - 1), F.when(per > 0, F.floor((F.col("__r") - 1) / per)).otherwise(nbins - 1)).cast("int")
     r = r.withColumn("bin", b)
     s = r.groupBy(*keys, "bin").agg(F.sqrt(F.avg("df2")).alias("SF"), F.count(F.lit(1)).alias("N"))
-    return same_keys(s, percentiles(r, [*keys, "bin"], "dt", {"tau_median": 0.5}), [*keys, "bin"], "left")
+    return same_keys(s, percentiles(r, [*keys, "bin"], "dt", {"tau_median": 0.5}, biggest=bound), [*keys, "bin"], "left")
+
+
+def _pair_bound(df: DataFrame, keys: list[str]) -> int:
+    """No group can have more pairs than this; saves counting the listed pairs when it is small."""
+    n = largest_group(df, keys)
+    return n * (n - 1) // 2
 
 
 def sf_median(df: DataFrame, nbins: int, max_lag: float, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
@@ -272,7 +279,7 @@ def sf_median(df: DataFrame, nbins: int, max_lag: float, keys=KEYS, time: str =
     step = (F.log10("__hi") - F.log10("__lo")) / nbins
     b = F.when(F.col("dt") < F.col("__hi"), F.floor((F.log10("dt") - F.log10("__lo")) / step).cast("int"))
     p = p.withColumns({"bin": F.greatest(F.lit(0), b), "step": step}).where(b.isNotNull() & (b < nbins))
-    m = percentiles(p, [*keys, "bin"], "df2", {"med": 0.5})
+    m = percentiles(p, [*keys, "bin"], "df2", {"med": 0.5}, biggest=_pair_bound(df, keys))
     lim = p.groupBy(*keys).agg(F.first("__lo").alias("__lo"), F.first("step").alias("step"))
     j = same_keys(m, lim, keys, "inner")
     return j.select(*keys, "bin", F.pow(F.lit(10.0), F.log10("__lo") + (F.col("bin") + 0.5) * F.col("step")).alias("tau"), F.sqrt("med").alias("SF"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.healpix import MAX_ORDER, ancestor, tile_area_deg2
+from starloom.functions.healpix import ancestor, tile_area_deg2
 
 
 def pixel_counts(df: DataFrame, order: int, index: str = "healpix29") -> DataFrame:
@@ -73,4 +73,3 @@ def pixel_map_join(df: DataFrame, pixel_map: DataFrame, order: int, index: str =
     return df.withColumn("pixel", ancestor(index, order)).join(pixel_map, "pixel", "inner")
 
 
-__all__ = ["MAX_ORDER", "pixel_counts", "adaptive_tiles", "tile_of_pixels", "assign_tiles", "coverage_summary", "pixel_map_join"]

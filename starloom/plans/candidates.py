@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import photometry as ph
 from starloom.operators import fits, nested, period, series
+from starloom.operators.ordered import largest_group
 from starloom.operators.scan import LombScargle, fixed_grid
 
 
@@ -15,11 +16,15 @@ def periodic_candidates(objects: DataFrame, sources: DataFrame, grid=(1.0, 2.99
 
     Ranked by signal to noise of the peak, ties by id.
     """
-    lc = nested.join_nested(objects.select("objectId"), sources.where(F.col("psfFluxErr") < max_err), "objectId", "objectId", ["band", "psfFlux", "psfFluxErr"], ["mjd"], "lc")
+    # later steps only drop rows, so the sources' largest group bounds them all
+    biggest = largest_group(sources, ["objectId"])
+    lc = nested.join_nested(
+        objects.select("objectId"), sources.where(F.col("psfFluxErr") < max_err), "objectId", "objectId", ["band", "psfFlux", "psfFluxErr"], ["mjd"], "lc", biggest=biggest
+    )
     lc = nested.drop_empty(nested.filter_nested(lc, "lc", lambda x: x["band"] == band), "lc")
     keep = nested.count_nested(lc, ["objectId"], "lc").where(F.col("n_lc") > min_points)
     flat = nested.flatten(lc.join(keep, "objectId", "left_semi"), "lc")
-    best = period.best_period(flat, ["objectId"], fixed_grid(*grid), LombScargle(), f_max=grid[0] + grid[1] * (grid[2] - 1))
+    best = period.best_period(flat, ["objectId"], fixed_grid(*grid), LombScargle(), f_max=grid[0] + grid[1] * (grid[2] - 1), biggest=biggest)
     best = best.where(period.alias_ok("period"))
     return best.orderBy(F.desc(F.round("s_to_n", 6)), "objectId").limit(n)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.functions import photometry as ph
 from starloom.functions import timefn
 from starloom.operators.columns import any_flag, cast_narrow, shape_ellipse
-from starloom.operators.ordered import top_k
+from starloom.operators.ordered import percentiles, top_k
 from starloom.plans.registry import query, rnd
 from starloom.sources.readers import query as text_query
 
@@ -113,8 +113,9 @@ def mag_error(t):
 )
 def mag_to_flux(t):
     m = t("sky_object").select("objectId", (15.0 + F.col("objectId") % 10 + F.abs("r_psfFlux") / 10000.0).alias("mag"))
-    med = m.agg(F.percentile("mag", 0.5).alias("med")).withColumn("one", F.lit(1))
-    out = m.withColumn("one", F.lit(1)).join(med, "one")
+    m = m.withColumn("one", F.lit(1))
+    # the other side is exactly one row
+    out = m.join(F.broadcast(percentiles(m, ["one"], "mag", {"med": 0.5})), "one")
     return out.select("objectId", rnd(ph.mag_to_flux("mag", 31.4)).alias("flux"), rnd(ph.mag_to_flux(F.col("mag") - F.col("med"), 0.0)).alias("rel"))
 
 

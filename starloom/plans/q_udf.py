@@ -82,5 +82,5 @@ def stream_latest_version(t):
     v = t("object_version")
     v.repartition(3, F.xxhash64("versionId")).write.parquet(src)
     s = chunks.read_chunks(t.spark, src, v.schema)
-    out = versions.import_versions(s, "diaObjectId", ["validityStart", "versionId"])
+    out = versions.import_versions(s, "diaObjectId", ["validityStart", "versionId"], buckets=8)
     return rounded(out)

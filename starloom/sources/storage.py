@@ -39,7 +39,7 @@ def column_storage(spark: SparkSession, files: DataFrame) -> DataFrame:
     total = rep.agg(F.sum("size").alias("total")).withColumn("one", F.lit(1))
     return (
         rep.withColumn("one", F.lit(1))
-        .join(total, "one")
+        .join(F.broadcast(total), "one")  # exactly one row
         .select(
             "name", "size", "raw_size", "values",
             (F.col("size") / F.nullif(F.col("values"), F.lit(0))).alias("bytes_per_value"),

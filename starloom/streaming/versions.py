@@ -62,18 +62,19 @@ class VersionedTable:
         return df if df is not None else self.spark.createDataFrame([], self.schema)
 
 
-def import_versions(stream: DataFrame, key: str, version: list[str], path: str | None = None, dedup: tuple[str, str] | None = None, delay: str = "7 days") -> DataFrame:
+def import_versions(stream: DataFrame, key: str, version: list[str], path: str | None = None, dedup: tuple[str, str] | None = None, delay: str = "7 days", buckets: int = 256) -> DataFrame:
     """Run a stream of versions into a VersionedTable over all files present.
 
     ``dedup`` = (id column, event-time column) drops repeated arrivals of one
-    detection within ``delay``; their state is dropped after it.
+    detection within ``delay``; their state is dropped after it.  ``buckets``
+    should grow with the table: a bucket is the unit that a batch rewrites.
     """
     spark = stream.sparkSession
     path = path or scratch_path(spark, "versions")
     schema = stream.schema
     if dedup:
         stream = stream.withWatermark(dedup[1], delay).dropDuplicatesWithinWatermark([dedup[0]])
-    table = VersionedTable(spark, path, key, version, schema)
+    table = VersionedTable(spark, path, key, version, schema, buckets)
     q = stream.writeStream.foreachBatch(table.merge).option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start()
     q.awaitTermination()
     return table.read()
