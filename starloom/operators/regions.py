@@ -44,6 +44,9 @@ class ConeSearch:
         w = math.degrees(math.asin(min(1.0, math.sin(math.radians(r)) / math.cos(math.radians(self.dec))))) * (1 + 1e-9) + 1e-12
         return BoxSearch((self.ra - w, self.ra + w), (lo, hi))
 
+    def boxes(self) -> list[BoxSearch]:
+        return [self.box()]
+
     def predicate(self, ra: str, dec: str) -> Column:
         coarse = self.box().predicate(ra, dec)
         if not self.fine:
@@ -58,6 +61,18 @@ class BoxSearch:
     ra: tuple[float, float] = (0.0, 360.0)
     dec: tuple[float, float] = (-90.0, 90.0)
 
+    def boxes(self) -> list[BoxSearch]:
+        return [self]
+
+    def overlaps(self, ra_min: str, ra_max: str, dec_min: str, dec_max: str) -> Column:
+        """Whether bounds may meet the box; true too often rather than too seldom."""
+        out = (F.col(dec_max) >= self.dec[0]) & (F.col(dec_min) <= self.dec[1])
+        if self.ra[1] - self.ra[0] >= 360.0:
+            return out
+        lo, hi = self.ra[0] % 360.0, self.ra[1] % 360.0
+        right, left = F.col(ra_max) >= lo, F.col(ra_min) <= hi
+        return out & ((right & left) if lo <= hi else (right | left))
+
     def predicate(self, ra: str, dec: str) -> Column:
         band = dec_band(dec, *self.dec)
         if self.ra[1] - self.ra[0] >= 360.0:
@@ -75,6 +90,9 @@ class PolygonSearch:
 
     vertices: tuple[tuple[float, float], ...]
 
+    def boxes(self) -> list[BoxSearch]:
+        return []
+
     def predicate(self, ra: str, dec: str) -> Column:
         return inside_convex(ra, dec, list(self.vertices))
 
@@ -86,6 +104,9 @@ class PixelSearch:
     pixels: tuple[tuple[int, int], ...]
     index: str = "healpix29"
 
+    def boxes(self) -> list[BoxSearch]:
+        return []
+
     def ranges(self) -> list[tuple[int, int]]:
         """Merged half-open index ranges in ascending order."""
         out: list[list[int]] = []
@@ -107,6 +128,9 @@ class StackedSearch:
 
     parts: tuple = field(default_factory=tuple)
 
+    def boxes(self) -> list[BoxSearch]:
+        return [b for p in self.parts for b in p.boxes()]
+
     def predicate(self, ra: str, dec: str) -> Column:
         return reduce(lambda a, b: a & b, [p.predicate(ra, dec) for p in self.parts])
 

@@ -58,7 +58,7 @@ def retile(t):
     catalogs.write_catalog(t("sky_object"), f"{path}/coarse", catalogs.CatalogInfo(**(OBJ_INFO | {"threshold": 400})))
     stored = catalogs.open_catalog(t.spark, f"{path}/coarse")
     catalogs.write_catalog(stored, f"{path}/fine", catalogs.CatalogInfo(**(OBJ_INFO | {"threshold": 8, "max_order": 6})))
-    return catalogs.partition_info(t.spark.read.parquet(f"{path}/fine/dataset")).drop("Dir")
+    return catalogs.partition_info(t.spark.read.parquet(f"{path}/fine/dataset")).select("Norder", "Npix", "rows")
 
 
 @query("cone_search", f"SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM sky_object WHERE {dist(350.0, 80.0)} <= 72000")

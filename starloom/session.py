@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Groups beyond it are cut into pieces (see operators/ordered.py).
 DEFAULT_HOT_ROWS = 2_000_000
 
+_LOCAL: dict[str, str | None] = {}
+
 
 def get_spark(app: str = "starloom", master: str | None = None, **conf) -> SparkSession:
     """Build a session; ``conf`` keys use ``__`` for dots."""
@@ -49,8 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.setdefault(sc.applicationId, None) or tempfile.mkdtemp(prefix="starloom-")
+        _LOCAL[sc.applicationId] = base
     return base
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.healpix import with_healpix
@@ -78,7 +78,7 @@ def write_catalog(df: DataFrame, path: str, info: CatalogInfo, max_records_per_f
 
 def refresh_metadata(spark: SparkSession, path: str, info: CatalogInfo) -> CatalogInfo:
     """Rewrite partition list and properties from the leaves; one counting job."""
-    part = partition_info(spark.read.parquet(f"{path}/dataset"))
+    part = partition_info(spark.read.parquet(f"{path}/dataset"), info.ra_column, info.dec_column)
     part.coalesce(1).write.mode("overwrite").parquet(f"{path}/partition_info")
     total = spark.read.parquet(f"{path}/partition_info").agg(F.sum("rows")).first()[0] or 0
     info.total_rows = int(total)
@@ -86,8 +86,34 @@ def refresh_metadata(spark: SparkSession, path: str, info: CatalogInfo) -> Catal
     return info
 
 
-def partition_info(df: DataFrame) -> DataFrame:
-    return df.groupBy("Norder", "Dir", "Npix").agg(F.count(F.lit(1)).alias("rows"))
+def partition_info(df: DataFrame, ra: str = "ra", dec: str = "dec") -> DataFrame:
+    """Rows and position bounds of each tile."""
+    bounds = [f(c).alias(f"{n}_{s}") for c, n in ((ra, "ra"), (dec, "dec")) for f, s in ((F.min, "min"), (F.max, "max"))]
+    return df.groupBy("Norder", "Dir", "Npix").agg(F.count(F.lit(1)).alias("rows"), *bounds)
+
+
+def region_tiles(spark: SparkSession, path: str, region, max_tiles: int = 1000) -> list[tuple[int, int]] | None:
+    """Tiles whose bounds meet the region's box, as a literal list for partition pruning.
+
+    None when the region has no box or meets more than ``max_tiles``; then the
+    region's own comparisons prune files and row groups by their statistics.
+    """
+    boxes = region.boxes()
+    if not boxes:
+        return None
+    t = spark.read.parquet(f"{path}/partition_info")
+    for b in boxes:
+        t = t.where(b.overlaps("ra_min", "ra_max", "dec_min", "dec_max"))
+    rows = t.select("Norder", "Npix").limit(max_tiles + 1).collect()
+    return None if len(rows) > max_tiles else [(r[0], r[1]) for r in rows]
+
+
+def _in_tiles(tiles: list[tuple[int, int]]) -> Column:
+    """Partition filter for a list of tiles, grouped by order."""
+    cond = F.lit(False)
+    for order in sorted({o for o, _ in tiles}):
+        cond = cond | ((F.col("Norder") == order) & F.col("Npix").isin([p for o, p in tiles if o == order]))
+    return cond
 
 
 def catalog_info(spark: SparkSession, path: str) -> CatalogInfo:
@@ -103,6 +129,9 @@ def open_catalog(spark: SparkSession, path: str, columns=None, filters=None, reg
     if filters:
         df = df.where(filters_to_column(filters))
     if region is not None:
+        tiles = region_tiles(spark, path, region)
+        if tiles is not None:
+            df = df.where(_in_tiles(tiles))
         df = df.where(region.predicate(info.ra_column, info.dec_column))
     return project(df, columns, info.default_columns or None)
 
@@ -132,11 +161,7 @@ def id_search(spark: SparkSession, path: str, id_column: str, values: list) -> D
     df = spark.read.parquet(f"{path}/dataset")
     if not tiles:
         return df.limit(0)
-    cond = None
-    for t in tiles:
-        c = (F.col("Norder") == t["Norder"]) & (F.col("Npix") == t["Npix"])
-        cond = c if cond is None else cond | c
-    return df.where(cond & F.col(id_column).isin(values))
+    return df.where(_in_tiles([(t["Norder"], t["Npix"]) for t in tiles]) & F.col(id_column).isin(values))
 
 
 @dataclass

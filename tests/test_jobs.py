@@ -34,6 +34,20 @@ def test_id_search_prunes_partitions(spark, tables):
     assert catalogs.catalog_info(spark, path).total_rows == tables("sky_object").count()
 
 
+def test_region_prunes_tiles_and_keeps_all_rows(spark, tables):
+    from starloom.operators.regions import BoxSearch, ConeSearch, StackedSearch, search
+
+    path = scratch_path(spark, "region")
+    catalogs.write_catalog(tables("sky_object"), path, catalogs.CatalogInfo("o", threshold=10, max_order=5))
+    every = spark.read.parquet(f"{path}/partition_info").count()
+    for region in (ConeSearch(350.0, -26.0, 90000.0), BoxSearch((340.0, 380.0), (-40.0, 0.0)), ConeSearch(90.0, -89.0, 90000.0), StackedSearch((ConeSearch(252.0, 6.0, 72000.0), BoxSearch((240.0, 260.0))))):
+        want = sorted(r[0] for r in search(tables("sky_object"), region).select("objectId").collect())
+        got = sorted(r[0] for r in catalogs.open_catalog(spark, path, region=region).select("objectId").collect())
+        assert want and got == want
+        assert len(catalogs.region_tiles(spark, path, region)) < every
+    assert catalogs.region_tiles(spark, path, ConeSearch(350.0, -26.0, 90000.0), max_tiles=1) is None
+
+
 def test_stream_equals_batch_and_resumes(spark, tables):
     src, out = scratch_path(spark, "src"), scratch_path(spark, "out")
     v = tables("object_version")
