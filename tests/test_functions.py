@@ -104,3 +104,18 @@ def test_visit_lookup_guards(spark):
         visit_time_lookup(spark.createDataFrame([(1, 2.0)], "visit bigint, midpointMjdTai double"), v)
     with pytest.raises(ValueError):
         visit_time_lookup(spark.createDataFrame([(1,)], "other bigint"), v)
+
+
+def test_task_functions_travel_by_value(tmp_path):
+    """A process without the package on its path can load what runs in tasks."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from starloom.operators.scan import LombScargle
+
+    (tmp_path / "m.pkl").write_bytes(cloudpickle.dumps(LombScargle()))
+    code = "import pickle; m = pickle.load(open('m.pkl', 'rb')); print(m.t_ref)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"})
+    assert out.stdout.strip() == "60000.0", out.stderr
