@@ -20,18 +20,24 @@ from starloom.session import hot_rows
 MAX_LIST = 200_000
 
 
-def pack(df: DataFrame, keys: list[str], fields: list[str], order: list[str], name: str = "lc", max_list: int | None = None, biggest: int | None = None) -> DataFrame:
+def pack(df: DataFrame, keys: list[str], fields: list[str], order: list[str], name: str = "lc", max_list: int | None = None, biggest: int | None = None, tasks: int | None = None) -> DataFrame:
     """Group rows into arrays of structs sorted by ``order`` (which come first in the struct).
 
     ``biggest`` is an upper bound of the rows per key, if one is known.
+    ``tasks`` fixes the number of partitions, for costly work on the lists.
     """
     limit = max_list or min(MAX_LIST, hot_rows(df.sparkSession))
     names = [*order, *[f for f in fields if f not in order]]
     rows = df.select(*keys, *[c for c in names if c not in keys])
+    spread = list(keys)
     if not is_hot(rows, keys, limit, biggest):
         rows = rows.withColumn("segment", F.lit(0))
     else:
         rows = ordered(rows, keys, order, rank="__rn").withColumn("segment", F.floor((F.col("__rn") - 1) / limit).cast("int"))
+        spread.append("segment")
+    if tasks:
+        # the constant segment is not part of the grouping Spark plans, so not of the partitioning either
+        rows = rows.repartition(tasks, *spread)
     packed = rows.groupBy(*keys, "segment").agg(F.array_sort(F.collect_list(F.struct(*names))).alias(name))
     return packed
 

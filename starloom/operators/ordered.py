@@ -27,11 +27,34 @@ def _cols(items) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
-_SEEN: dict[tuple[int, int], int] = {}
+_SEEN: dict[tuple[int, int], tuple[int, int]] = {}
+
+# Rows per task where each row costs far more time than bytes.
+COSTLY_ROWS = 200_000
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; one map-side combined aggregate over the key columns.
+    """Rows of the largest group."""
+    return _group_sizes(df, keys)[0]
+
+
+def costly_tasks(df: DataFrame, keys: list[str], counted: bool = True) -> int:
+    """Task count for numpy work on packed groups.
+
+    Adaptive execution joins small shuffle partitions by bytes, which would put
+    heavy scans of little data into one task; an explicit count is kept.  It
+    grows with the rows where they have been counted, else with the session's
+    shuffle partitions.
+    """
+    spark = df.sparkSession
+    floor = spark.sparkContext.defaultParallelism
+    if not counted:
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return max(floor, -(-_group_sizes(df, keys)[1] // COSTLY_ROWS))
+
+
+def _group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all; one map-side combined aggregate over the key columns.
 
     The answer for a plan is remembered, so a chain of operators on one table
     counts it once.  It only chooses between two exact ways, so an answer that
@@ -40,10 +63,10 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     plan = df.select(*keys)
     tag = (id(df.sparkSession.sparkContext), plan.semanticHash())
     if tag not in _SEEN:
-        row = plan.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
+        row = plan.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"), F.sum("n").alias("total")).first()
         if len(_SEEN) > 1000:
             _SEEN.clear()
-        _SEEN[tag] = row["n"] or 0
+        _SEEN[tag] = (row["n"] or 0, row["total"] or 0)
     return _SEEN[tag]
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.nested import MAX_LIST, pack
-from starloom.operators.ordered import is_hot, same_keys
+from starloom.operators.ordered import costly_tasks, is_hot, same_keys
 from starloom.session import hot_rows
 
 BLOCK = 4096
@@ -186,7 +186,7 @@ def _arrays(df: DataFrame, keys, time, flux, err, tie, grid, min_points, limit,
     rows = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(flux).cast("double").alias("y"), weights.alias("e"), *( [tie] if tie else []))
     rows = rows.where(F.col("t").isNotNull() & F.col("y").isNotNull() & (F.col("e") > 0))
     parts = is_hot(rows, keys, limit, biggest)
-    lists = pack(rows, keys, ["y", "e"], ["t"] + ([tie] if tie else []), "lc", max_list=limit, biggest=None if parts else limit)
+    lists = pack(rows, keys, ["y", "e"], ["t"] + ([tie] if tie else []), "lc", max_list=limit, biggest=None if parts else limit, tasks=costly_tasks(rows, keys, biggest is None or biggest > limit))
     cols = {"t": F.transform("lc", lambda x: x["t"]), "y": F.transform("lc", lambda x: x["y"]), "e": F.transform("lc", lambda x: x["e"])}
     out = lists.withColumns(cols).drop("lc")
     if parts:

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 
 from starloom.operators.joins import close_in_time
 from starloom.operators.nested import MAX_LIST
-from starloom.operators.ordered import largest_group, ordered, percentiles, same_keys, with_stats
+from starloom.operators.ordered import costly_tasks, largest_group, ordered, percentiles, same_keys, with_stats
 from starloom.session import hot_rows
 
 KEYS = ["objectId", "band"]
@@ -46,16 +46,17 @@ def lag_sums(
     base = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("f"), e2.alias("e2"), F.col(tie).alias("__tie"), edges.alias("__edges"))
     base = base.where(F.col("t").isNotNull() & F.col("f").isNotNull())
     if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
-        return _lag_sums_packed(base, keys).drop("lo", "hi")
+        return _lag_sums_packed(base, keys, costly_tasks(df, keys)).drop("lo", "hi")
     return _lag_sums_stream(base, keys)
 
 
-def _lag_sums_packed(base: DataFrame, keys: list[str], log_bins: int | None = None) -> DataFrame:
+def _lag_sums_packed(base: DataFrame, keys: list[str], tasks: int, log_bins: int | None = None) -> DataFrame:
     """Light curves of bounded length: running totals and edge positions by numpy in the task that holds the list.
 
     With ``log_bins`` the edges come from each light curve itself, from twice
     its smallest gap to half its span; columns lo and hi tell them.
     """
+    base = base.repartition(tasks, *keys)
     lists = base.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("t", "__tie", "f", "e2"))).alias("lc"), F.first("__edges").alias("edges"))
     lists = lists.select(*keys, "edges", *[F.transform("lc", _field(c)).alias(c) for c in ("t", "f", "e2")])
     types = [f for f in lists.schema.fields if f.name in keys]
@@ -133,7 +134,7 @@ def _kth_lag(t, rank, below, lo, hi):
 
 def median_lags(df: DataFrame, keys: list[str], edges: list[float], time: str = "mjd", tie: str = "visit") -> DataFrame:
     """Median pair lag per (keys, bin) for light curves of bounded length, by counting."""
-    lists = df.where(F.col(time).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(time).cast("double"))).alias("t"))
+    lists = df.where(F.col(time).isNotNull()).select(*keys, time).repartition(costly_tasks(df, keys), *keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(time).cast("double"))).alias("t"))
     types = [f for f in lists.schema.fields if f.name in keys]
     schema = T.StructType(types + [T.StructField("bin", T.IntegerType()), T.StructField("tau_median", T.DoubleType())])
 
@@ -202,7 +203,7 @@ def sf_log_bins(df: DataFrame, nstep: int = 50, keys=KEYS, time: str = "mjd", va
         base = df.select(
             *keys, F.col(time).cast("double").alias("t"), F.col(value).cast("double").alias("f"), F.lit(0.0).alias("e2"), F.col(tie).alias("__tie"), F.array().cast("array<double>").alias("__edges")
         ).where(F.col("t").isNotNull() & F.col("f").isNotNull())
-        s = _lag_sums_packed(base, keys, nstep)
+        s = _lag_sums_packed(base, keys, costly_tasks(df, keys), nstep)
     else:
         gaps = ordered(df.select(*keys, time, value, tie), keys, [time, tie], lags={"__p": time})
         lim = gaps.groupBy(*keys).agg((2 * F.min(F.col(time) - F.col("__p"))).alias("lo"), (0.5 * (F.max(time) - F.min(time))).alias("hi"))
