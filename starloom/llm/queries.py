@@ -15,6 +15,7 @@ from starloom.llm.license_scan import scan_licenses
 from starloom.llm.packing import pack
 from starloom.llm.sharding import consistent_shards
 from starloom.llm.simhash import near_duplicates
+from starloom.llm.substrings import remove_repeats
 from starloom.llm.token_counts import VOCABULARY, count_tokens, load_pieces
 from starloom.llm.url_filter import BLOCK_GLOBS, SITE_RULES, filter_urls
 
@@ -115,3 +116,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
