@@ -18,12 +18,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from starloom.llm.common import arrow_map
+from starloom.llm.common import arrow_map, schema_of
 from starloom.llm.components import components
 from starloom.session import materialize
 
@@ -44,18 +46,26 @@ BUCKET_ROWS = 2000
 SEED = 42
 
 
-def fingerprint(raw: bytes, shingle: int) -> int:
-    """SimHash of a text given as UTF-8: a bit is 1 if set in over half of the shingles' hashes."""
+def shingle_hashes(raw: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words, in text order; fewer words make one run, no words none."""
     # bytes.lower folds A-Z only; bytes.split cuts at space and \\x09-\\x0d only
     words = raw.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     flat, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum([len(w) + 1 for w in words])
     begin = np.concatenate([[0], ends[:-1]])[:n].tolist()
     stop = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(flat[a:b], SEED) for a, b in zip(begin, stop)), np.uint64, n)
+    return np.fromiter((digest(flat[a:b], SEED) for a, b in zip(begin, stop)), np.uint64, n)
+
+
+def fingerprint(raw: bytes, shingle: int, distinct: bool = False) -> int:
+    """SimHash of a text given as UTF-8: a bit is 1 if set in over half of the shingles' hashes, each shingle once if ``distinct``."""
+    h = shingle_hashes(raw, shingle)
+    if distinct:
+        h = np.unique(h)
+    n = len(h)
     counts = np.zeros(BITS, np.int64)
     for i in range(0, n, 1 << 16):
         part = h[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -63,12 +73,12 @@ def fingerprint(raw: bytes, shingle: int) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distinct: bool = False) -> DataFrame:
     """Rows (doc_id, fp): the fingerprint as a signed 64-bit number; 0 where a text is null or has no words."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
 
     def work(b: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([fingerprint(r.as_py() or b"", shingle) for r in b.column("raw")], np.uint64)
+        fp = np.array([fingerprint(r.as_py() or b"", shingle, distinct) for r in b.column("raw")], np.uint64)
         return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     return arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long")])
@@ -210,19 +220,21 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS, agree: int =
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS,
+    distinct: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     Words are runs of characters other than space and x09-x0D, after lower-casing
     A-Z; a text with fewer words than a shingle is one shingle, a text without
-    words (or null) has fingerprint zero and is linked like any other.
+    words (or null) has fingerprint zero and is linked like any other.  With
+    ``distinct`` a shingle counts once however often it occurs.
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` differing bits.  Rows with a null doc_id take part: their
     component is that of their fingerprint, and its id is null if it holds no
     other id.  Ids are integers.  An empty table gives an empty table.
     """
-    prints = materialize(fingerprints(docs, text, doc_id, shingle))
+    prints = materialize(fingerprints(docs, text, doc_id, shingle, distinct))
     # copies meet here first: one point per fingerprint, whatever their number
     points = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).select("fp", "first_id", F.col("fp").alias("node")))
     found = components(fingerprint_links(points.select("node", "fp"), max_bits, agree, pivots))
@@ -233,13 +245,101 @@ def near_duplicates(
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted arrays of distinct hashes; two empty ones are equal."""
+    if not len(a) and not len(b):
+        return 1.0
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def first_kept(sets: list[np.ndarray], kept: list[np.ndarray], least: float) -> list[bool]:
+    """Which sets stay, in order: those less than ``least`` similar to all of ``kept`` and to the earlier ones that stay."""
+    stays = []
+    kept = list(kept)
+    for s in sets:
+        # similar sets have similar sizes
+        near = any(least * len(k) <= len(s) and least * len(s) <= len(k) and jaccard(s, k) >= least for k in kept)
+        stays.append(not near)
+        if not near:
+            kept.append(s)
+    return stays
+
+
+# Members of a candidate group that a task compares with each other at a time.
+GROUP_BLOCK = 64
+
+
+def redundant(members: DataFrame, least: float, block: int = GROUP_BLOCK) -> DataFrame:
+    """Rows (doc_id, text_hash) that go, from (part, doc_id, text_hash, hashes).
+
+    In a candidate group (``part``) documents are visited by id; one goes if it
+    is at least ``least`` similar to one that stays.  Each round settles the first
+    ``block`` documents of every group among themselves and then holds all later
+    ones against those that stay, so no group is ever gathered, and the number
+    of rounds follows the documents that stay, not the copies.
+    """
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
+    out, schema = None, schema_of([(f.name, f.dataType) for f in members.schema.fields] + [("stays", "boolean")])
+
+    def settle(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, [("rank", "ascending")])).drop_columns(["rank"])
+        sets = [np.asarray(x.values) for x in group["hashes"]]
+        return group.append_column("stays", pa.array(first_kept(sets, [], least), pa.bool_()))
+
+    while True:
+        heads = members.select("part", "doc_id", "text_hash").withColumn("rank", F.row_number().over(W.partitionBy("part").orderBy(*order))).where(F.col("rank") <= block)
+        same = F.col("part").eqNullSafe(F.col("h_part")) & F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash"))
+        heads = materialize(heads.select(F.col("part").alias("h_part"), F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"), "rank"))
+        settled = materialize(members.join(heads, same).drop("h_part", "h_id", "h_hash").groupBy("part").applyInArrow(settle, schema))
+        gone = settled.where(~F.col("stays")).select("doc_id", "text_hash")
+        out = gone if out is None else out.union(gone)
+        later = members.join(heads, same, "left_anti")
+        stays = settled.where("stays").groupBy("part").agg(F.collect_list("hashes").alias("kept")).select(F.col("part").alias("k_part"), "kept")
+
+        def against(b: pa.RecordBatch) -> pa.RecordBatch:
+            result = []
+            for mine, kept in zip(b.column("hashes"), b.column("kept")):
+                result.append(first_kept([np.asarray(mine.values)], [np.asarray(k.values) for k in kept], least)[0])
+            names = [n for n in b.schema.names if n not in ("kept", "k_part")]
+            return pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(result, pa.bool_())], [*names, "stays"])
+
+        checked = materialize(arrow_map(later.join(stays, F.col("part") == F.col("k_part")), against, [(f.name, f.dataType) for f in schema.fields]))
+        out = out.union(checked.where(~F.col("stays")).select("doc_id", "text_hash"))
+        members = checked.where("stays").drop("stays")
+        if not members.limit(1).count():
+            return out
+
+
 def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, least: float = 0.8, max_bits: int = 7, agree: int = AGREE, pivots: int = PIVOTS
 ) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id, with the columns of ``docs``.
-
-    Documents are told apart by their id.
+    """The rows of ``docs`` without near duplicates, with their columns.
+
+    SimHash fingerprints of the distinct words of each text, linked at up to
+    ``max_bits`` differing bits, give candidate groups; in each, documents are
+    visited by id, null ids first, and one goes if it shares at least ``least`` of its
+    ``words``-word shingles (Jaccard) with one that stays.  Equal texts count as
+    similar, of rows with equal id and text both stay.  Null and empty texts have
+    no shingles and are equal to each other.
     """
-    found = near_duplicates(docs, text, doc_id, shingle, max_bits, agree, pivots)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("gone_id"), "left_anti")
+    found = near_duplicates(docs, text, doc_id, 1, max_bits, agree, pivots, distinct=True)
+    found = found.where("component_id is not null").select(F.col("doc_id").alias("m_id"), F.col("component_id").alias("part"))
+    several = found.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part")
+    found = materialize(found.join(several, "part", "left_semi").distinct())
+    # the documents travel in one column, so that none of their names can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own_id, raw = F.col(f"row.`{doc_id}`"), F.coalesce(F.col(f"row.`{text}`"), F.lit("")).cast("binary")
+    slim = rows.select(own_id.alias("doc_id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
+    slim = slim.join(found, F.col("doc_id").eqNullSafe(F.col("m_id"))).select("part", "doc_id", "text_hash", "raw")
+
+    def hashed(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(r.as_py(), words)).view(np.int64) for r in b.column("raw")]
+        at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        values = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
+        return pa.RecordBatch.from_arrays([b.column("part"), b.column("doc_id"), b.column("text_hash"), values], ["part", "doc_id", "text_hash", "hashes"])
+
+    fields = [(n, slim.schema[n].dataType) for n in ("part", "doc_id", "text_hash")] + [("hashes", "array<long>")]
+    members = materialize(arrow_map(slim, hashed, fields).dropDuplicates(["doc_id", "text_hash"]))
+    gone = redundant(members, least).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    return rows.join(gone, own_id.eqNullSafe(F.col("gone_id")) & (F.xxhash64(raw) == F.col("gone_hash")), "left_anti").select("row.*")
