@@ -158,9 +158,11 @@ def combine(parts: list[DataFrame], keys=KEYS) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), parts)
 
 
-def feature_table(df: DataFrame, bands: list[str], fluxes: dict[str, tuple[str, str]], key="objectId", time="mjd", tie="visit", n_sigma: float = 5.0, fill: float = -1.0) -> DataFrame:
+def feature_table(df: DataFrame, bands: list[str], fluxes: dict[str, tuple[str, str]], key="objectId", time="mjd", tie="visit", n_sigma: float = 5.0, fill: float = -1.0, both_signs: tuple[str, ...] = ("dia",)) -> DataFrame:
     """Wide table: features of each band and flux kind on detections above ``n_sigma``; missing ones get ``fill``.
 
+    Kinds in ``both_signs`` count by size whatever their sign.
+
     ``fluxes`` maps a kind to (flux, error) columns.  The kinds are stacked, so
     all features of all kinds and bands come from one set of aggregates.
     """
@@ -169,7 +171,9 @@ def feature_table(df: DataFrame, bands: list[str], fluxes: dict[str, tuple[str,
     long = None
     for kind, (f, e) in fluxes.items():
         s = df.where(F.col("band").isin(bands)).select(key, "band", F.lit(kind).alias("kind"), F.col(time).alias("mjd"), F.col(f).alias("psfFlux"), F.col(e).alias("psfFluxErr"), F.col(tie).alias("visit"))
-        s = s.where(F.abs(F.col("psfFlux")) > n_sigma * F.col("psfFluxErr"))
+        # a difference flux may be negative, a direct one is a detection only above zero
+        size = F.abs(F.col("psfFlux")) if kind in both_signs else F.col("psfFlux")
+        s = s.where(size > n_sigma * F.col("psfFluxErr"))
         long = s if long is None else long.unionByName(s)
     keys = [key, "band", "kind"]
     parts = [basic(long, keys), moments(long, keys), chi2(long, keys), linear(long, keys), cusum(long, keys=keys)]

@@ -1,10 +1,11 @@
 """Lists of rows under each object.
 
 A nested table has the key columns, an integer ``segment`` and an array of
-structs ordered by time.  Objects with up to ``max_list`` rows have one segment,
-number 0.  Longer ones are cut into consecutive segments, so no single row or
-task has to hold an unbounded list.  Element-wise work (filter, derive, split)
-ignores segments; counts and object-level decisions add them up.
+structs ordered by time.  An object has one row, segment 0, whatever the length
+of its list, so a function of a row is a function of an object.  Only where the
+caller names ``max_list`` are lists cut into consecutive segments of that
+length; element-wise work (filter, derive, split) ignores them, counts and
+object-level decisions add them up.
 """
 
 from __future__ import annotations
@@ -15,25 +16,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.ordered import is_hot, ordered
-from starloom.session import hot_rows
 
+# Rows of one list in jobs that add up segments by themselves.
 MAX_LIST = 200_000
 
 
 def pack(df: DataFrame, keys: list[str], fields: list[str], order: list[str], name: str = "lc", max_list: int | None = None, biggest: int | None = None, tasks: int | None = None) -> DataFrame:
     """Group rows into arrays of structs sorted by ``order`` (which come first in the struct).
 
-    ``biggest`` is an upper bound of the rows per key, if one is known.
+    ``max_list`` cuts longer lists into segments; ``biggest`` is then an upper
+    bound of the rows per key, if one is known.
     ``tasks`` fixes the number of partitions, for costly work on the lists.
     """
-    limit = max_list or min(MAX_LIST, hot_rows(df.sparkSession))
     names = [*order, *[f for f in fields if f not in order]]
     rows = df.select(*keys, *[c for c in names if c not in keys])
     spread = list(keys)
-    if not is_hot(rows, keys, limit, biggest):
+    if max_list is None or not is_hot(rows, keys, max_list, biggest):
         rows = rows.withColumn("segment", F.lit(0))
     else:
-        rows = ordered(rows, keys, order, rank="__rn").withColumn("segment", F.floor((F.col("__rn") - 1) / limit).cast("int"))
+        rows = ordered(rows, keys, order, rank="__rn").withColumn("segment", F.floor((F.col("__rn") - 1) / max_list).cast("int"))
         spread.append("segment")
     if tasks:
         # the constant segment is not part of the grouping Spark plans, so not of the partitioning either

@@ -100,7 +100,7 @@ def cut_pieces(df: DataFrame, keys: list[str], order: list, hot_rows: int | None
     """Number the range partitions on (keys, order) and fix them by writing."""
     limit = _limit(df.sparkSession, hot_rows)
     total = df.count()
-    parts = max(2, min(100_000, -(-2 * total // limit)))
+    parts = max(2, -(-2 * total // limit))
     ranged = df.repartitionByRange(parts, *_cols(keys), *_cols(order))
     return materialize(ranged.withColumn(PIECE, F.spark_partition_id()))
 

@@ -1,8 +1,9 @@
 """Region searches.
 
-A search is a small driver-side object.  On a table it becomes one predicate:
-a coarse part on the stored order-29 index (range comparisons that reach the
-Parquet scan and prune files and row groups) and an exact part on position.
+A search is a small driver-side object.  On a table it becomes one predicate.
+Cones and polygons test the bounding box of positions first, pixels test ranges
+of the order-29 index; both are plain comparisons that reach the Parquet scan
+and prune files and row groups.  The exact test follows.
 """
 
 from __future__ import annotations
@@ -91,10 +92,26 @@ class PolygonSearch:
     vertices: tuple[tuple[float, float], ...]
 
     def boxes(self) -> list[BoxSearch]:
-        return []
+        """The box of a cone around all vertices; a convex polygon smaller than half the sky lies inside."""
+        xyz = [
+            (math.cos(math.radians(d)) * math.cos(math.radians(r)), math.cos(math.radians(d)) * math.sin(math.radians(r)), math.sin(math.radians(d)))
+            for r, d in self.vertices
+        ]
+        mid = [sum(c) for c in zip(*xyz)]
+        size = math.hypot(*mid)
+        if size < 1e-6 * len(xyz):
+            return []
+        mid = [c / size for c in mid]
+        radius = max(math.degrees(math.acos(max(-1.0, min(1.0, sum(a * b for a, b in zip(mid, v)))))) for v in xyz) * (1 + 1e-9) + 1e-9
+        if radius >= 90.0:
+            return []
+        ra, dec = math.degrees(math.atan2(mid[1], mid[0])) % 360.0, math.degrees(math.asin(max(-1.0, min(1.0, mid[2]))))
+        return [ConeSearch(ra, dec, radius * 3600.0).box()]
 
     def predicate(self, ra: str, dec: str) -> Column:
-        return inside_convex(ra, dec, list(self.vertices))
+        # the box first: plain comparisons reach the scan
+        exact = inside_convex(ra, dec, list(self.vertices))
+        return reduce(lambda a, b: a & b, [b.predicate(ra, dec) for b in self.boxes()] + [exact])
 
 
 @dataclass(frozen=True)
@@ -153,18 +170,20 @@ def search_tiles(df: DataFrame, region: ConeSearch, order: int, ra: str = "ra",
 def coverage_filter(df: DataFrame, coverage: DataFrame, index: str = "healpix29") -> DataFrame:
     """Keep rows inside a coverage map, a DataFrame of (order, pixel) tiles of mixed orders.
 
-    One equi semi-join on (order, ancestor): each row is tested under the few
-    orders the map uses, so the map may be larger than a broadcast.  A row under
-    two overlapping tiles is kept once.
+    One semi join: tiles become index ranges keyed by an ancestor of one order,
+    a little finer than the coarsest tile; the range test does the rest.  The map
+    may be larger than a broadcast, and a row under two tiles is kept once.
     """
-    orders = [r[0] for r in coverage.select("order").distinct().orderBy("order").limit(healpix.MAX_ORDER + 1).collect()]
-    keyed = df.withColumn("__anc", F.array(*[healpix.ancestor(index, o) for o in orders]))
-    cond = None
-    for i, o in enumerate(orders):
-        tiles = coverage.where(F.col("order") == o).select(F.col("pixel").alias("__pix")).distinct()
-        keyed = keyed.join(tiles.select(F.col("__pix").alias(f"__p{i}")), F.col("__anc")[i] == F.col(f"__p{i}"), "left")
-        hit = F.col(f"__p{i}").isNotNull()
-        cond = hit if cond is None else cond | hit
-    if cond is None:
+    coarsest = coverage.agg(F.min("order")).first()[0]
+    if coarsest is None:
         return df.limit(0)
-    return keyed.where(cond).drop("__anc", *[f"__p{i}" for i in range(len(orders))])
+    at = min(coarsest + 4, healpix.MAX_ORDER)
+    up = F.col("order") - at
+    # a coarser tile is split into its descendants, at most 4 ** 4; a finer one has one ancestor
+    first = F.expr(f"shiftright(pixel, cast(2 * greatest(0, order - {at}) AS int))")
+    cells = coverage.select(
+        F.expr(f"shiftleft(pixel, cast(2 * ({healpix.MAX_ORDER} - order) AS int))").alias("__lo"), F.expr(f"shiftleft(pixel + 1, cast(2 * ({healpix.MAX_ORDER} - order) AS int))").alias("__hi"),
+        F.when(up > 0, F.array(first)).otherwise(F.expr(f"sequence(shiftleft(pixel, cast(2 * greatest(0, {at} - order) AS int)), shiftleft(pixel + 1, cast(2 * greatest(0, {at} - order) AS int)) - 1)")).alias("c"),
+    ).select("__lo", "__hi", F.explode("c").alias("__cell"))
+    inside = (healpix.ancestor(index, at) == F.col("__cell")) & (F.col(index) >= F.col("__lo")) & (F.col(index) < F.col("__hi"))
+    return df.join(cells, inside, "left_semi")

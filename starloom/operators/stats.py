@@ -126,39 +126,33 @@ def count_mismatch(a: DataFrame, b: DataFrame, keys: list[str], name_a: str = "n
     return both.where(~F.col(name_a).eqNullSafe(F.col(name_b)))
 
 
-def sigma_clip(df: DataFrame, keys: list[str], value: str, n_sigma: float = 5.0, max_passes: int = 10) -> DataFrame:
+def sigma_clip(df: DataFrame, keys: list[str], value: str, n_sigma: float = 5.0) -> DataFrame:
     """Drop rows at ``n_sigma`` sample deviations or more from the group mean until nothing changes.
 
-    Only per-group limits change between passes, so a pass is one combining
-    aggregate over the rows; groups that have settled are found by comparing
-    their counts.  The limits are written per pass, which keeps plans short and
-    lets a pass be repeated when executors are lost.
+    Only per-group limits change between passes.  A pass is one combining
+    aggregate over the rows of the groups that still lost rows in the pass
+    before; settled groups are not read again.  The limits are written per pass,
+    which keeps plans short and lets a pass be repeated when executors are lost.
+    Each pass removes a row at least, so the loop ends by itself.
     """
     from starloom.session import materialize
 
-    limits = None
-
-    def kept():
-        if limits is None:
-            return df
-        j = same_keys(df, limits, keys, "inner")
-        return j.where((F.col("__lo").isNull()) | ((F.col(value) > F.col("__lo")) & (F.col(value) < F.col("__hi"))))
-
-    last = None
-    for _ in range(max_passes):
-        cur = kept()
-        s = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"))
-        lo, hi = F.col("__m") - n_sigma * F.col("__s"), F.col("__m") + n_sigma * F.col("__s")
-        new = s.withColumns({"__lo": lo, "__hi": hi})
-        if limits is not None:
-            # limits only ever narrow the kept set: a row dropped once stays dropped
-            prev = limits.select(*keys, F.col("__lo").alias("__plo"), F.col("__hi").alias("__phi"))
-            new = same_keys(new, prev, keys, "left").withColumns({"__lo": F.greatest("__lo", "__plo"), "__hi": F.least("__hi", "__phi")}).drop("__plo", "__phi")
-        limits = materialize(new)
-        total = limits.agg(F.sum("__n")).first()[0]
-        if total == last:
-            break
-        last = total
-    return kept().drop("__n", "__m", "__s", "__lo", "__hi")
-
-
+    inside = F.col("__lo").isNull() | ((F.col(value) > F.col("__lo")) & (F.col(value) < F.col("__hi")))
+
+    def limits(rows: DataFrame) -> DataFrame:
+        s = rows.groupBy(*keys).agg(F.count(value).alias("__n"), F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"))
+        return s.select(*keys, "__n", (F.col("__m") - n_sigma * F.col("__s")).alias("__lo"), (F.col("__m") + n_sigma * F.col("__s")).alias("__hi"))
+
+    open_ = materialize(limits(df))
+    settled = None
+    while True:
+        kept = same_keys(df, open_, keys, "inner").where(inside)
+        # a row dropped once stays dropped: limits only ever narrow
+        now = limits(kept).withColumnsRenamed({"__n": "__n2", "__lo": "__lo2", "__hi": "__hi2"})
+        both = same_keys(open_, now, keys, "left").withColumn("__n2", F.coalesce("__n2", F.lit(0)))
+        both = materialize(both.withColumns({"__lo2": F.greatest("__lo", "__lo2"), "__hi2": F.least("__hi", "__hi2"), "__done": F.col("__n2") == F.col("__n")}))
+        done = both.where("__done").select(*keys, "__lo", "__hi")
+        settled = done if settled is None else settled.unionByName(done)
+        open_ = both.where("not __done").select(*keys, F.col("__n2").alias("__n"), F.col("__lo2").alias("__lo"), F.col("__hi2").alias("__hi"))
+        if not open_.limit(1).count():
+            return same_keys(df, settled, keys, "inner").where(inside).drop("__lo", "__hi")

@@ -69,8 +69,10 @@ def _lag_sums_packed(base: DataFrame, keys: list[str], tasks: int, log_bins: int
             for row in pdf.itertuples(index=False):
                 t, f, e2 = (np.asarray(x, dtype=float) for x in (row.t, row.f, row.e2))
                 if log_bins:
-                    lo, hi = (2 * np.diff(t).min(), 0.5 * (t[-1] - t[0])) if len(t) > 1 else (0.0, 0.0)
-                    if not 0 < lo < hi:
+                    gaps = np.diff(t)
+                    gaps = gaps[gaps > 0]
+                    lo, hi = (2 * gaps.min(), 0.5 * (t[-1] - t[0])) if len(gaps) else (0.0, 0.0)
+                    if not lo < hi:
                         continue
                     edges = 10 ** (np.log10(lo) + np.arange(log_bins + 1) * ((np.log10(hi) - np.log10(lo)) / log_bins))
                 else:
@@ -115,7 +117,7 @@ def _kth_lag(t, rank, below, lo, hi):
         return np.searchsorted(t, t + x, side="left") if x > 0 else i + 1
 
     a, b = first_at(lo), first_at(hi)
-    for _ in range(60):
+    while True:
         mid = 0.5 * (lo + hi)
         if (b - a).sum() <= 4 * len(t) + 64 or not lo < mid < hi:
             break
@@ -126,6 +128,10 @@ def _kth_lag(t, rank, below, lo, hi):
         else:
             hi, b = mid, m
     count = b - a
+    if count.sum() > 4 * len(t) + 64 and not lo < 0.5 * (lo + hi) < hi:
+        # the interval holds no other number: all lags left in it are one
+        k = int(np.flatnonzero(count > 0)[0])
+        return t[a[k]] - t[k]
     left = np.repeat(i, count)
     right = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(a, count)
     lags = t[right] - t[left]
@@ -197,7 +203,7 @@ def fixed_edges(values) -> Column:
 
 
 def sf_log_bins(df: DataFrame, nstep: int = 50, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
-    """sqrt(mean squared difference) in log bins from twice the smallest gap to half the span."""
+    """sqrt(mean squared difference) in log bins from twice the smallest gap above 0 to half the span."""
     keys = list(keys)
     if largest_group(df, keys) <= min(MAX_LIST, hot_rows(df.sparkSession)):
         base = df.select(
@@ -206,7 +212,7 @@ def sf_log_bins(df: DataFrame, nstep: int = 50, keys=KEYS, time: str = "mjd", va
         s = _lag_sums_packed(base, keys, costly_tasks(df, keys), nstep)
     else:
         gaps = ordered(df.select(*keys, time, value, tie), keys, [time, tie], lags={"__p": time})
-        lim = gaps.groupBy(*keys).agg((2 * F.min(F.col(time) - F.col("__p"))).alias("lo"), (0.5 * (F.max(time) - F.min(time))).alias("hi"))
+        lim = gaps.groupBy(*keys).agg((2 * F.min(F.when(F.col(time) > F.col("__p"), F.col(time) - F.col("__p")))).alias("lo"), (0.5 * (F.max(time) - F.min(time))).alias("hi"))
         lim = lim.where((F.col("lo") > 0) & (F.col("hi") > F.col("lo")))
         edged = same_keys(df, lim, keys, "inner")
         s = lag_sums(edged, keys, log_edges(F.col("lo"), F.col("hi"), nstep), time, value, tie=tie)

@@ -28,17 +28,15 @@ def map_partitions(df: DataFrame, fn: Callable, schema: str | T.StructType, **kw
     return df.mapInPandas(run, schema)
 
 
-def map_tiles(df: DataFrame, tile: list[str], fn: Callable, schema: str | T.StructType, max_rows: int = 5_000_000, **kwargs) -> DataFrame:
-    """Apply ``fn(frame, **kwargs)`` to all rows of each tile.
+def map_tiles(df: DataFrame, tile: list[str], fn: Callable, schema: str | T.StructType, include_tile: bool = False, **kwargs) -> DataFrame:
+    """Apply ``fn(frame, **kwargs)`` to all rows of each tile at once.
 
-    Tiles come from adaptive tiling and so are bounded; a table with a larger
-    tile is refused with advice, since one task would have to hold it.
+    With ``include_tile`` the function gets the tile's values first, as
+    ``fn(frame, tile, **kwargs)``.  A task holds one tile; adaptive tiling bounds
+    tiles by rows.
     """
-    from starloom.operators.ordered import largest_group
-
-    n = largest_group(df, tile)
-    if n > max_rows:
-        raise ValueError(f"a tile has {n} rows, more than {max_rows}: use finer tiles, map_partitions or aggregate")
+    if include_tile:
+        return df.groupBy(*tile).applyInPandas(lambda key, pdf: fn(pdf, key, **kwargs), schema)
     return df.groupBy(*tile).applyInPandas(lambda pdf: fn(pdf, **kwargs), schema)
 
 
@@ -92,7 +90,7 @@ def explode_rows(df: DataFrame, fn: Callable, columns: list[str], schema: str, k
         def eval(self, *args):
             yield from fn(*args, **kwargs)
 
-    table = F.udtf(Rows, returnType=schema)
+    table = F.udtf(Rows, returnType=schema, useArrow=True)
     return df.lateralJoin(table(*[F.col(c).outer() for c in columns])).select(*keep, *T.StructType.fromDDL(schema).fieldNames())
 
 

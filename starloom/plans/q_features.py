@@ -127,7 +127,7 @@ def lc_binned(t):
 
 def _table_sql():
     kinds = {"direct": ("psfFlux", "psfFluxErr"), "dia": ("psfDiffFlux", "psfDiffFluxErr")}
-    stack = " UNION ALL ".join(f"SELECT objectId, band, '{k}' AS kind, mjd, {f} AS y, {e} AS e, diaSourceId AS id FROM dia_source WHERE abs({f}) > 5 * {e}" for k, (f, e) in kinds.items())
+    stack = " UNION ALL ".join(f"SELECT objectId, band, '{k}' AS kind, mjd, {f} AS y, {e} AS e, diaSourceId AS id FROM dia_source WHERE {'abs(' + f + ')' if k == 'dia' else f} > 5 * {e}" for k, (f, e) in kinds.items())
     aggs = []
     for k in kinds:
         for b in "gr":

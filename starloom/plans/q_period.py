@@ -36,7 +36,9 @@ def ls_ctes(keys: str, where: str = "true", weighted: bool = True, src: str = "p
 def fap_sql(z: str, n: str, tv: str, fmax: float = FMAX) -> str:
     gam = f"sqrt(2e0 / ({n} - 1)) * exp(lgamma(({n} - 1) / 2e0) - lgamma(({n} - 2) / 2e0))"
     tau = f"{gam} * {fmax!r}e0 * sqrt(4 * pi() * {tv}) * power(1 - {z}, ({n} - 4) / 2e0) * sqrt(({n} - 1) / 2e0 * {z})"
-    return f"(1 - exp(-({tau})) + power(1 - {z}, ({n} - 3) / 2e0) * exp(-({tau})))"
+    # 1 - exp(-x) loses all digits of a small x
+    rise = f"CASE WHEN {tau} < 1e-4 THEN {tau} - power({tau}, 2) / 2 + power({tau}, 3) / 6 ELSE 1 - exp(-({tau})) END"
+    return f"({rise} + power(1 - {z}, ({n} - 3) / 2e0) * exp(-({tau})))"
 
 
 @query("ls_power", f"WITH {ls_ctes('objectId', R_BAND)} SELECT objectId, CAST(k AS INT) AS k, R6(freq) AS freq, R6(power) AS power FROM p")
@@ -72,11 +74,11 @@ def ls_autogrid(t):
 
 @query(
     "ls_fap",
-    f"WITH {ls_ctes('objectId', R_BAND + ' AND mjd < 60012')}, b AS (SELECT objectId, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p GROUP BY 1) SELECT objectId, n, R6(z) AS power, R6({fap_sql('z', 'n', 'tv')}) AS fap FROM b",
+    f"WITH {ls_ctes('objectId', R_BAND)}, b AS (SELECT objectId, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p GROUP BY 1) SELECT objectId, n, R6(z) AS power, R4(log10({fap_sql('z', 'n', 'tv')})) AS log10_fap FROM b",
 )
 def ls_fap(t):
-    b = period.best_period(t("periodic_source").where("band = 'r' AND mjd < 60012"), ["objectId"], fixed_grid(*GRID), f_max=FMAX)
-    return rounded(b.select("objectId", "n", "power", "fap"))
+    b = period.best_period(t("periodic_source").where("band = 'r'"), ["objectId"], fixed_grid(*GRID), f_max=FMAX)
+    return rounded(b.select("objectId", "n", "power", F.log10("fap").alias("log10_fap")), 6, log10_fap=4)
 
 
 @query(
@@ -98,7 +100,7 @@ def alias_filter(t):
 
 @query(
     "best_period_pair",
-    f"""WITH {ls_ctes('objectId, band', 'mjd < 60014')}, b AS (SELECT objectId, band, 1 / arg_max(freq, power) AS period, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p WHERE band IN ('g', 'r', 'i', 'z') GROUP BY 1, 2),
+    f"""WITH {ls_ctes('objectId, band')}, b AS (SELECT objectId, band, 1 / arg_max(freq, power) AS period, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p WHERE band IN ('g', 'r', 'i', 'z') GROUP BY 1, 2),
       f AS (SELECT *, {fap_sql('z', 'n', 'tv')} AS fap, instr('griz', band) AS o FROM b),
       pr AS (SELECT a.objectId, a.o AS oa, c.o AS ob, CASE WHEN a.fap < c.fap THEN a.band ELSE c.band END AS best_period_band, CASE WHEN a.fap < c.fap THEN a.period ELSE c.period END AS period_0,
         least({', '.join(f'abs(a.period - {m}e0 * c.period) / a.period' for m in period.PERIOD_MULTIPLES)}) AS d FROM f a JOIN f c ON a.objectId = c.objectId AND a.o < c.o),
@@ -106,7 +108,7 @@ def alias_filter(t):
       SELECT objectId, R6(period_0) AS period_0, R6(d) AS min_rel_period_diff FROM k WHERE rn = 1""",
 )
 def best_period_pair(t):
-    p = period.best_period(t("periodic_source").where("band IN ('g', 'r', 'i', 'z') AND mjd < 60014"), ["objectId", "band"], fixed_grid(*GRID), f_max=FMAX)
+    p = period.best_period(t("periodic_source").where("band IN ('g', 'r', 'i', 'z')"), ["objectId", "band"], fixed_grid(*GRID), f_max=FMAX)
     a = period.band_agreement(p.select("objectId", "band", "period", "fap"), "objectId", "griz")
     return rounded(a.select("objectId", "period_0", "min_rel_period_diff"))
 
@@ -158,13 +160,13 @@ def period_verify(t):
 
 @query(
     "period_compare",
-    f"""WITH {ls_ctes('objectId', 'mjd < 60006')}, b AS (SELECT objectId, 1 / arg_max(freq, power) AS period, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p GROUP BY 1),
+    f"""WITH {ls_ctes('objectId')}, b AS (SELECT objectId, 1 / arg_max(freq, power) AS period, max(power) AS z, any_value(n) AS n, any_value(tv) AS tv FROM p GROUP BY 1),
       c AS (SELECT *, 0.3e0 + objectId % 10 * 0.05e0 AS tp, {fap_sql('z', 'n', 'tv')} AS fap FROM b)
       SELECT objectId, R6(period - tp) AS delta, abs(period - tp) < 0.01 AS within, fap < 1e-3 AS significant,
       CASE WHEN abs(period / tp - 1) < 0.01 THEN 'match' WHEN abs(period / (tp * 0.5e0) - 1) < 0.01 THEN 'half' WHEN abs(period / (tp * 2) - 1) < 0.01 THEN 'double' ELSE 'other' END AS alias FROM c""",
 )
 def period_compare(t):
-    found = period.best_period(t("periodic_source").where("mjd < 60006"), ["objectId"], fixed_grid(*GRID), f_max=FMAX)
+    found = period.best_period(t("periodic_source"), ["objectId"], fixed_grid(*GRID), f_max=FMAX)
     known = t("periodic_source").select("objectId", (0.3 + F.col("objectId") % 10 * 0.05).alias("period")).distinct()
     return rounded(period.compare_periods(found, known, "objectId").select("objectId", "delta", "within", "significant", "alias"))
 

@@ -15,6 +15,7 @@ from starloom.operators.regions import BoxSearch, ConeSearch, StackedSearch
 from starloom.operators.stats import column_statistics
 from starloom.plans.registry import query, rnd
 from starloom.session import scratch_path
+from starloom.streaming.chunks import consume_until, read_chunks
 from starloom.sources import catalogs, readers, storage
 
 OBJ_INFO = dict(name="objects", ra_column="ra", dec_column="dec", id_column="objectId", threshold=40, max_order=5)
@@ -86,12 +87,12 @@ def manifest_scan(t):
     return readers.manifest_scan(t.spark, m, ["o_orderkey"])
 
 
-@query("pinned_schema", "SELECT o_orderkey, R6(o_totalprice) AS o_totalprice, CAST(NULL AS BIGINT) AS visit FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("pinned_schema", "SELECT o_orderkey, R6(o_totalprice) AS o_totalprice, CAST(NULL AS BIGINT) AS visit FROM orders")
 def pinned(t):
     path = scratch_path(t.spark, "pinned")
     o = t("orders")
     o.where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice", "o_custkey").write.parquet(f"{path}/a")
-    o.where("o_orderstatus = 'O'").select("o_custkey", "o_totalprice", "o_orderkey").write.parquet(f"{path}/b")
+    o.where("o_orderstatus <> 'F'").select("o_custkey", "o_totalprice", "o_orderkey").write.parquet(f"{path}/b")
     schema = readers.pinned_schema(t.spark, f"{path}/a", ["o_totalprice", "o_orderkey"], ["visit"])
     df = t.spark.read.schema(schema).parquet(f"{path}/a", f"{path}/b")
     return df.withColumn("o_totalprice", rnd("o_totalprice"))
@@ -244,9 +245,23 @@ def file_bounds(t):
     return b.withColumns({c: rnd(c) for c in ("ra_min", "ra_max", "dec_min", "dec_max")})
 
 
-@query("chunk_until_n")
+@query(
+    "chunk_until_n",
+    """WITH c AS (SELECT l_orderkey % 8 AS chunk, count(*) AS n FROM lineitem WHERE l_quantity < 10 GROUP BY 1)
+      SELECT sum(n) >= 500 AS enough, true AS only_the_cut, true AS whole_chunks, true AS no_chunk_too_many FROM c""",
+)
 def chunk_until_n(t):
-    """The first rows that satisfy a cut, reading only as many partitions as needed."""
-    return t("forced_source").where("psfFluxErr < 100").select("objectId", "visit", "band").limit(500)
+    """Chunks of rows that satisfy a cut, taken until there are enough; the summary says what must hold whichever come first."""
+    src = scratch_path(t.spark, "chunks")
+    rows = t("lineitem").where("l_quantity < 10").select("l_orderkey", "l_linenumber", "l_quantity", F.expr("l_orderkey % 8 AS chunk"))
+    # one folder per chunk, each a single file
+    rows.repartition(8, "chunk").write.partitionBy("chunk").parquet(src)
+    want = t.spark.read.parquet(src).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    stream = read_chunks(t.spark, f"{src}/*", rows.drop("chunk").schema)
+    got = consume_until(stream, 500).withColumn("chunk", F.expr("l_orderkey % 8"))
+    have = got.groupBy("chunk").agg(F.count(F.lit(1)).alias("m"), F.max("l_quantity").alias("top"))
+    both = want.join(have, "chunk", "left")
+    s = both.agg(F.sum("m").alias("m"), F.max("top").alias("top"), F.count_if(F.col("m") != F.col("n")).alias("cut"), F.max("m").alias("largest"))
+    return s.select((F.col("m") >= 500).alias("enough"), (F.col("top") < 10).alias("only_the_cut"), (F.col("cut") == 0).alias("whole_chunks"), (F.col("m") - F.col("largest") < 500).alias("no_chunk_too_many"))
 
 

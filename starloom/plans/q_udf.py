@@ -71,7 +71,7 @@ def udaf_grouped(t):
 @query("stream_chunks", "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_quantity < 5")
 def stream_chunks(t):
     """A file stream over the table in chunks; the same rows as the batch filter."""
-    s = chunks.read_chunks(t.spark, t.folder, t("lineitem").schema, glob="lineitem.parquet")
+    s = chunks.read_chunks(t.spark, t.path("lineitem"), t("lineitem").schema)
     return chunks.run_available(s, lambda df: df.where("l_quantity < 5").select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from starloom.operators.tiling import assign_tiles, pixel_counts
 from starloom.session import materialize
 from starloom.sources.readers import project
 
-INDEX = "_healpix_29"
+INDEX = "healpix29"
 
 
 @dataclass
@@ -79,7 +80,8 @@ def write_catalog(df: DataFrame, path: str, info: CatalogInfo, max_records_per_f
 def refresh_metadata(spark: SparkSession, path: str, info: CatalogInfo) -> CatalogInfo:
     """Rewrite partition list and properties from the leaves; one counting job."""
     part = partition_info(spark.read.parquet(f"{path}/dataset"), info.ra_column, info.dec_column)
-    part.coalesce(1).write.mode("overwrite").parquet(f"{path}/partition_info")
+    # the aggregate keeps its tasks; only its rows, one per tile, meet in one file
+    part.repartition(1).write.mode("overwrite").parquet(f"{path}/partition_info")
     total = spark.read.parquet(f"{path}/partition_info").agg(F.sum("rows")).first()[0] or 0
     info.total_rows = int(total)
     _put_json(spark, asdict(info), f"{path}/properties")
@@ -98,10 +100,13 @@ def region_tiles(spark: SparkSession, path: str, region, max_tiles: int = 1000)
     None when the region has no box or meets more than ``max_tiles``; then the
     region's own comparisons prune files and row groups by their statistics.
     """
-    boxes = region.boxes()
-    if not boxes:
+    boxes, pixels = region.boxes(), getattr(region, "ranges", None)
+    if not boxes and pixels is None:
         return None
     t = spark.read.parquet(f"{path}/partition_info")
+    if pixels is not None:
+        lo, hi = (F.expr(f"shiftleft(cast(Npix AS bigint) + {k}, cast(2 * (29 - Norder) AS int))") for k in (0, 1))
+        t = t.where(reduce(lambda a, b: a | b, [(lo < stop) & (hi > start) for start, stop in pixels()], F.lit(False)))
     for b in boxes:
         t = t.where(b.overlaps("ra_min", "ra_max", "dec_min", "dec_max"))
     rows = t.select("Norder", "Npix").limit(max_tiles + 1).collect()
@@ -149,19 +154,23 @@ def write_id_index(spark: SparkSession, path: str, id_column: str) -> None:
     idx.repartitionByRange(id_column).sortWithinPartitions(id_column).write.mode("overwrite").parquet(f"{path}/index_{id_column}")
 
 
-def id_search(spark: SparkSession, path: str, id_column: str, values: list) -> DataFrame:
-    """Rows with the given ids; only the tiles the index names are opened.
+def id_search(spark: SparkSession, path: str, id_column: str, values: list | DataFrame, max_tiles: int = 1000) -> DataFrame:
+    """Rows with the given ids, a list or a DataFrame with the id column; only the tiles the index names are opened.
 
-    The tile list is a few rows per requested id, so it goes into the plan as a
-    literal partition filter.
+    Up to ``max_tiles`` tiles go into the plan as a literal partition filter.
+    More of them stay a table: the index rows found are joined on tile and id.
     """
-    tiles = (
-        spark.read.parquet(f"{path}/index_{id_column}").where(F.col(id_column).isin(values)).select("Norder", "Npix").distinct().collect()
-    )
+    wanted = values.select(id_column).distinct() if isinstance(values, DataFrame) else None
+    index = spark.read.parquet(f"{path}/index_{id_column}")
+    found = index.join(wanted, id_column, "left_semi") if wanted is not None else index.where(F.col(id_column).isin(values))
+    tiles = found.select("Norder", "Npix").distinct().limit(max_tiles + 1).collect()
     df = spark.read.parquet(f"{path}/dataset")
     if not tiles:
         return df.limit(0)
-    return df.where(_in_tiles([(t["Norder"], t["Npix"]) for t in tiles]) & F.col(id_column).isin(values))
+    if len(tiles) <= max_tiles:
+        df = df.where(_in_tiles([(t["Norder"], t["Npix"]) for t in tiles]))
+        return df.join(wanted, id_column, "left_semi") if wanted is not None else df.where(F.col(id_column).isin(values))
+    return df.join(found.select(id_column, "Norder", "Npix"), [id_column, "Norder", "Npix"], "left_semi")
 
 
 @dataclass

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
+# Rows of one file of a bucket.
+MAX_RECORDS = 5_000_000
+
 
 def latest(df: DataFrame, key: str, version: list[str]) -> DataFrame:
     """Newest version per id, by ``version`` columns in order; a combining aggregate."""
@@ -24,8 +27,8 @@ class VersionedTable:
     not matter: versions are compared, not arrival.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, version: list[str], schema, buckets: int = 64):
-        self.spark, self.path, self.key, self.version, self.schema, self.buckets = spark, path, key, version, schema, buckets
+    def __init__(self, spark: SparkSession, path: str, key: str, version: list[str], schema, buckets: int = 64, parts: int = 4):
+        self.spark, self.path, self.key, self.version, self.schema, self.buckets, self.parts = spark, path, key, version, schema, buckets, parts
 
     def _bucket(self):
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -54,7 +57,12 @@ class VersionedTable:
         rows = batch.select(*[f.name for f in self.schema.fields])
         both = rows if old is None else rows.unionByName(old)
         new = latest(both, self.key, self.version).withColumn("bucket", self._bucket())
-        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/batch={batch_id}")
+        # a bucket is dealt to several tasks by a second hash, so its size is no task's size
+        part = F.pmod(F.xxhash64(self.key, F.lit("part")), F.lit(self.parts))
+        (
+            new.repartition("bucket", part).write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS).partitionBy("bucket")
+            .parquet(f"{self.path}/data/batch={batch_id}")
+        )
         self.spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, batch bigint").coalesce(1).write.mode("overwrite").json(f"{self.path}/lists/{batch_id}")
 
     def read(self) -> DataFrame:
@@ -62,19 +70,18 @@ class VersionedTable:
         return df if df is not None else self.spark.createDataFrame([], self.schema)
 
 
-def import_versions(stream: DataFrame, key: str, version: list[str], path: str | None = None, dedup: tuple[str, str] | None = None, delay: str = "7 days", buckets: int = 256) -> DataFrame:
+def import_versions(stream: DataFrame, key: str, version: list[str], path: str | None = None, buckets: int = 256, parts: int = 4) -> DataFrame:
     """Run a stream of versions into a VersionedTable over all files present.
 
-    ``dedup`` = (id column, event-time column) drops repeated arrivals of one
-    detection within ``delay``; their state is dropped after it.  ``buckets``
-    should grow with the table: a bucket is the unit that a batch rewrites.
+    Repeated arrivals need no removal of their own: keep detections under their
+    id and the newest version absorbs them, however late they come.  ``buckets``
+    should grow with the table: a bucket is the unit that a batch rewrites, by
+    ``parts`` tasks.
     """
     spark = stream.sparkSession
     path = path or scratch_path(spark, "versions")
     schema = stream.schema
-    if dedup:
-        stream = stream.withWatermark(dedup[1], delay).dropDuplicatesWithinWatermark([dedup[0]])
-    table = VersionedTable(spark, path, key, version, schema, buckets)
+    table = VersionedTable(spark, path, key, version, schema, buckets, parts)
     q = stream.writeStream.foreachBatch(table.merge).option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start()
     q.awaitTermination()
     return table.read()

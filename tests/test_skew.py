@@ -90,7 +90,10 @@ def test_period_scans(spark, skewed):
 def test_packed_lists_are_cut_and_whole(spark, skewed):
     spark.conf.set(HOT, "50")
     try:
-        p = nested.pack(skewed, ["objectId"], ["psfFlux"], ["mjd", "visit"])
+        # one row per object, however long its list, unless the caller asks for segments
+        whole = nested.pack(skewed, ["objectId"], ["psfFlux"], ["mjd", "visit"])
+        assert whole.count() == whole.select("objectId").distinct().count()
+        p = nested.pack(skewed, ["objectId"], ["psfFlux"], ["mjd", "visit"], max_list=50)
         assert p.agg(F.max(F.size("lc"))).first()[0] <= 50
         assert p.where("objectId = 1").count() == 12
         flat = nested.flatten(p, "lc")
