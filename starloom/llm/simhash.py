@@ -101,8 +101,9 @@ def signed(mask: int) -> int:
 
 def keyed(points: DataFrame, keys: list[str], masks: list[int]) -> DataFrame:
     """Each point once per mask, with the mask's number and the masked fingerprint added to the bucket key."""
+    rest = ["node", "fp"] + [c for c in ("fp2",) if c in points.columns]
     choice = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for i, m in enumerate(masks)])).alias("c")
-    return points.select("node", "fp", *keys, choice).select("node", "fp", F.xxhash64(*keys, "c.i", "c.k").alias("bucket"))
+    return points.select(*rest, *keys, choice).select(*rest, F.xxhash64(*keys, "c.i", "c.k").alias("bucket"))
 
 
 def pivot_table(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -163,16 +164,21 @@ def forest(u: np.ndarray, v: np.ndarray, n: int) -> list[int]:
     return kept
 
 
-def bucket_links(rows: DataFrame, max_bits: int, pivots: int) -> DataFrame:
-    """Links (u, v) found inside the buckets of (node, fp, bucket).
+def bucket_links(rows: DataFrame, max_bits: int, pivots: int, max_bits2: int = BITS) -> DataFrame:
+    """Links (u, v) found inside the buckets of (node, fp, bucket); a column fp2 has to be close too, by ``max_bits2``.
 
     Rows are dealt by bucket and sorted, so a task sees each bucket as one run;
     the last run of a batch waits for the next batch.
     """
     refs = reference_points(pivots)
 
-    def link(bucket, node, fp):
+    columns = ["bucket", "node", "fp"] + [c for c in ("fp2",) if c in rows.columns]
+
+    def link(bucket, node, fp, fp2=None):
         i, j = close_pairs(bucket, fp.view(np.uint64), refs, max_bits)
+        if fp2 is not None:
+            ok = np.bitwise_count(fp2[i].view(np.uint64) ^ fp2[j].view(np.uint64)) <= max_bits2
+            i, j = i[ok], j[ok]
         names, codes = np.unique(node, return_inverse=True)
         keep = forest(codes[i], codes[j], len(names))
         return pa.RecordBatch.from_arrays([pa.array(node[i[keep]]), pa.array(node[j[keep]])], ["u", "v"])
@@ -180,7 +186,7 @@ def bucket_links(rows: DataFrame, max_bits: int, pivots: int) -> DataFrame:
     def task(batches):
         held: list[tuple] = []
         for batch in batches:
-            now = tuple(batch.column(c).to_numpy() for c in ("bucket", "node", "fp"))
+            now = tuple(batch.column(c).to_numpy() for c in columns)
             if not len(now[0]):
                 continue
             held.append(now)
@@ -193,13 +199,18 @@ def bucket_links(rows: DataFrame, max_bits: int, pivots: int) -> DataFrame:
         if held:
             yield link(*(np.concatenate(x) for x in zip(*held)))
 
-    dealt = rows.select("bucket", "node", "fp").repartition("bucket").sortWithinPartitions("bucket")
+    dealt = rows.select(*columns).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(task, T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())]))
 
 
-def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def fingerprint_links(
+    points: DataFrame, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS, max_bits2: int = BITS
+) -> DataFrame:
     """Links (u, v) between points (node, fp) with distinct fingerprints, enough of them to connect all close ones.
 
+    With a column fp2, a second fingerprint of each point, points are close if
+    both agree, fp up to ``max_bits`` and fp2 up to ``max_bits2``.
+
     Buckets with more than ``bucket_rows`` points (as near copies of one text
     make) are dealt anew by further blocks of all bits, twice, and then compared
     whatever their size; a bucket can then only hold points that agree on most bits.
@@ -208,11 +219,14 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS, agree: int =
     rows, links = keyed(points, [], masks), None
     for level in range(3):
         if level == 2:
-            found = bucket_links(rows, max_bits, pivots)
+            found = bucket_links(rows, max_bits, pivots, max_bits2)
             return links.union(found)
         rows = materialize(rows)
-        large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("bucket")
-        found = bucket_links(rows.join(large, "bucket", "left_anti"), max_bits, pivots)
+        large = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("bucket"))
+        if not large.limit(1).count():
+            found = bucket_links(rows, max_bits, pivots, max_bits2)
+            return found if links is None else links.union(found)
+        found = bucket_links(rows.join(large, "bucket", "left_anti"), max_bits, pivots, max_bits2)
         links = found if links is None else links.union(found)
         # interleaved bit order, so that the new blocks cut across the old ones
         mixed = [b for k in range(level + 2) for b in range(k, BITS, level + 2)]
@@ -311,22 +325,40 @@ def redundant(members: DataFrame, least: float, block: int = GROUP_BLOCK) -> Dat
             return out
 
 
+def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bits: int, max_bits2: int, agree: int, pivots: int) -> DataFrame:
+    """Rows (m_id, part): the documents that share a candidate group with others, null ids included."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+
+    def work(b: pa.RecordBatch) -> pa.RecordBatch:
+        raw = [r.as_py() or b"" for r in b.column("raw")]
+        fp = [np.array([fingerprint(r, n, True) for r in raw], np.uint64).view(np.int64) for n in (1, words)]
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp[0]), pa.array(fp[1])], ["doc_id", "fp", "fp2"])
+
+    prints = arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long"), ("fp2", "long")])
+    prints = materialize(prints.withColumn("node", F.xxhash64("fp", "fp2")))
+    points = materialize(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count(F.lit(1)).alias("n")))
+    linked = components(fingerprint_links(points, max_bits, agree, pivots, max_bits2=max_bits2)).select(F.col("node").alias("l_node"), "component")
+    parts = points.join(linked, F.col("node") == F.col("l_node"), "left").where("n > 1 or component is not null")
+    parts = parts.select(F.col("node").alias("p_node"), F.coalesce("component", "node").alias("part"))
+    return materialize(prints.join(parts, F.col("node") == F.col("p_node")).select(F.col("doc_id").alias("m_id"), "part").distinct())
+
+
 def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, least: float = 0.8, max_bits: int = 7, agree: int = AGREE, pivots: int = PIVOTS
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, least: float = 0.8, max_bits: int = 7, max_bits2: int = 18,
+    agree: int = AGREE, pivots: int = PIVOTS,
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates, with their columns.
 
-    SimHash fingerprints of the distinct words of each text, linked at up to
-    ``max_bits`` differing bits, give candidate groups; in each, documents are
+    Two SimHash fingerprints of each text, of its distinct words and of its
+    distinct ``words``-word shingles, give candidate groups: texts are linked if
+    the first differ in up to ``max_bits`` and the second in up to ``max_bits2``
+    bits.  In each group documents are
     visited by id, null ids first, and one goes if it shares at least ``least`` of its
     ``words``-word shingles (Jaccard) with one that stays.  Equal texts count as
     similar, of rows with equal id and text both stay.  Null and empty texts have
     no shingles and are equal to each other.
     """
-    found = near_duplicates(docs, text, doc_id, 1, max_bits, agree, pivots, distinct=True)
-    found = found.where("component_id is not null").select(F.col("doc_id").alias("m_id"), F.col("component_id").alias("part"))
-    several = found.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("part")
-    found = materialize(found.join(several, "part", "left_semi").distinct())
+    found = candidate_groups(docs, text, doc_id, words, max_bits, max_bits2, agree, pivots)
     # the documents travel in one column, so that none of their names can clash
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own_id, raw = F.col(f"row.`{doc_id}`"), F.coalesce(F.col(f"row.`{text}`"), F.lit("")).cast("binary")
