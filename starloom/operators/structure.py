@@ -12,8 +12,7 @@ not rows^2.  Light curves of bounded length are packed and done by numpy in
 their task.  If any is longer, questions and observations are put in one
 time-ordered stream, which ``ordered`` cuts into pieces.
 
-Medians over pairs cannot be had from running totals.  Those forms take a
-``max_lag`` and list only the pairs closer than it, joined by time bucket.
+Medians over pairs cannot be had from running totals; see ``pairs``.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from starloom.operators import pairs
 from starloom.operators.joins import close_in_time
 from starloom.operators.nested import MAX_LIST
 from starloom.operators.ordered import costly_tasks, largest_group, ordered, percentiles, same_keys, with_stats
@@ -249,47 +249,22 @@ def bin_of(x: Column, edges: list[float]) -> Column:
     return out
 
 
-def sf_equal_count(df: DataFrame, nbins: int, max_lag: float, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
-    """Pairs up to ``max_lag`` sorted by lag and cut into ``nbins`` bins of equal count, the last takes the rest.
+def sf_equal_count(df: DataFrame, nbins: int, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
+    """All pairs sorted by lag (then by ``tie``, a whole number) and cut into ``nbins`` bins of equal count, the last takes the rest.
 
-    Median lag, sqrt(mean squared difference), count.  Pairs are ranked by
-    ``ordered``, which cuts the list of a huge light curve into pieces.
+    Median lag, sqrt(mean squared difference), count.  Pairs of equal times do not count.
     """
-    keys = list(keys)
-    p = close_in_time(df, keys, time, tie, [value], max_lag)
-    p = p.withColumn("df2", F.pow(F.col(f"{value}2") - F.col(f"{value}1"), 2)).select(*keys, "dt", "df2", f"{tie}1", f"{tie}2")
-    total = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    bound = _pair_bound(df, keys)
-    r = same_keys(ordered(p, keys, ["dt", f"{tie}1", f"{tie}2"], rank="__r", biggest=bound), total, keys, "left")
-    per = F.floor(F.col("__n") / nbins)
-    b = F.least(F.lit(nbins - 1), F.when(per > 0, F.floor((F.col("__r") - 1) / per)).otherwise(nbins - 1)).cast("int")
-    r = r.withColumn("bin", b)
-    s = r.groupBy(*keys, "bin").agg(F.sqrt(F.avg("df2")).alias("SF"), F.count(F.lit(1)).alias("N"))
-    return same_keys(s, percentiles(r, [*keys, "bin"], "dt", {"tau_median": 0.5}, biggest=bound), [*keys, "bin"], "left")
-
-
-def _pair_bound(df: DataFrame, keys: list[str]) -> int:
-    """No group can have more pairs than this; saves counting the listed pairs when it is small."""
-    n = largest_group(df, keys)
-    return n * (n - 1) // 2
+    fields = [("bin", T.IntegerType()), ("SF", T.DoubleType()), ("N", T.LongType()), ("tau_median", T.DoubleType())]
+    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.equal_count(t, v, f, nbins), fields, time, value, tie)
 
 
-def sf_median(df: DataFrame, nbins: int, max_lag: float, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
-    """sqrt(median squared difference) in log bins from the smallest to the largest lag up to ``max_lag``.
+def sf_median(df: DataFrame, nbins: int, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
+    """sqrt(median squared difference) of all pairs in log bins from the smallest lag above 0 to the largest.
 
     Bin centres are geometric means of the edges; the last edge is exclusive.
     """
-    keys = list(keys)
-    p = close_in_time(df, keys, time, tie, [value], max_lag)
-    p = p.withColumn("df2", F.pow(F.col(f"{value}2") - F.col(f"{value}1"), 2)).select(*keys, "dt", "df2")
-    p = with_stats(p, keys, __lo=F.min("dt"), __hi=F.max("dt")).where(F.col("__hi") > F.col("__lo"))
-    step = (F.log10("__hi") - F.log10("__lo")) / nbins
-    b = F.when(F.col("dt") < F.col("__hi"), F.floor((F.log10("dt") - F.log10("__lo")) / step).cast("int"))
-    p = p.withColumns({"bin": F.greatest(F.lit(0), b), "step": step}).where(b.isNotNull() & (b < nbins))
-    m = percentiles(p, [*keys, "bin"], "df2", {"med": 0.5}, biggest=_pair_bound(df, keys))
-    lim = p.groupBy(*keys).agg(F.first("__lo").alias("__lo"), F.first("step").alias("step"))
-    j = same_keys(m, lim, keys, "inner")
-    return j.select(*keys, "bin", F.pow(F.lit(10.0), F.log10("__lo") + (F.col("bin") + 0.5) * F.col("step")).alias("tau"), F.sqrt("med").alias("SF"))
+    fields = [("bin", T.IntegerType()), ("tau", T.DoubleType()), ("SF", T.DoubleType())]
+    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.log_median(t, v, f, nbins), fields, time, value, tie)
 
 
 def sf_ensemble(df: DataFrame, edges: list[float], mag: str, keys=KEYS, min_pairs: int = 10, **kw) -> DataFrame:
@@ -323,33 +298,8 @@ def sf2_bootstrap(df: DataFrame, edges: list[float], keys=KEYS, replicates: int
 
     Each replicate weighs a pair by a Poisson(1) count drawn from a hash of the
     pair, replicate and seed, the usual large-sample form of drawing with
-    replacement.  All replicates are sums in one aggregate; pairs are listed only
-    up to the last edge.
+    replacement.  ``tie`` is a whole number that tells rows apart.
     """
-    keys = list(keys)
-    p = close_in_time(df, keys, time, tie, [value, err], float(edges[-1]))
-    d = F.pow(F.col(f"{value}2") - F.col(f"{value}1"), 2) - F.col(f"{err}1") * F.col(f"{err}1") - F.col(f"{err}2") * F.col(f"{err}2")
-    p = p.withColumns({"bin": bin_of(F.col("dt"), [float(e) for e in edges]), "d": d}).where(F.col("bin").isNotNull())
-
-    def poisson(r: int) -> Column:
-        u = F.pmod(F.xxhash64(*keys, f"{tie}1", f"{tie}2", F.lit(r), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-        # Cumulative Poisson(1) probabilities.
-        cdf = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940581, 0.99991676]
-        return sum((F.when(u > c, 1.0).otherwise(0.0) for c in cdf[1:]), F.when(u > cdf[0], 1.0).otherwise(0.0))
-
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg("d").alias("sf2")]
-    for r in range(replicates):
-        w = poisson(r)
-        aggs.append((F.sum(w * F.col("d")) / F.nullif(F.sum(w), F.lit(0.0))).alias(f"__r{r}"))
-    g = p.groupBy(*keys, "bin").agg(*aggs)
-    reps = F.array_sort(F.array_compact(F.array(*[f"__r{r}" for r in range(replicates)])))
-    g = g.withColumn("__a", reps)
-
-    def quantile(q: float) -> Column:
-        pos = q * (F.size("__a") - 1)
-        lo = F.element_at("__a", (F.floor(pos) + 1).cast("int"))
-        hi = F.element_at("__a", (F.ceil(pos) + 1).cast("int"))
-        return lo + (hi - lo) * (pos - F.floor(pos))
-
-    g = g.where(F.size("__a") > 0)
-    return g.select(*keys, "bin", "n", "sf2", quantile(0.16).alias("lower"), quantile(0.84).alias("upper"), ((quantile(0.84) - quantile(0.16)) / 2).alias("sigma"))
+    fields = [("bin", T.IntegerType()), ("n", T.LongType()), ("sf2", T.DoubleType()), ("lower", T.DoubleType()), ("upper", T.DoubleType())]
+    g = pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.bootstrap(t, v, f, e2, [float(e) for e in edges], replicates, seed), fields, time, value, tie, err)
+    return g.withColumn("sigma", (F.col("upper") - F.col("lower")) / 2)

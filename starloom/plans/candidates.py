@@ -12,19 +12,14 @@ from starloom.operators.scan import LombScargle, fixed_grid
 
 
 def periodic_candidates(objects: DataFrame, sources: DataFrame, grid=(1.0, 2.99 / 399, 400), band: str = "r", max_err: float = 145.0, min_points: int = 50, n: int = 20) -> DataFrame:
-    """Nest light curves under their objects, keep long ones, scan for periods, drop aliases, rank.
+    """Light curves of one band of the objects, long ones only, scan for periods, drop aliases, rank.
 
     Ranked by signal to noise of the peak, ties by id.
     """
-    # later steps only drop rows, so the sources' largest group bounds them all
-    biggest = largest_group(sources, ["objectId"])
-    lc = nested.join_nested(
-        objects.select("objectId"), sources.where(F.col("psfFluxErr") < max_err), "objectId", "objectId", ["band", "psfFlux", "psfFluxErr"], ["mjd"], "lc", biggest=biggest
-    )
-    lc = nested.drop_empty(nested.filter_nested(lc, "lc", lambda x: x["band"] == band), "lc")
-    keep = nested.count_nested(lc, ["objectId"], "lc").where(F.col("n_lc") > min_points)
-    flat = nested.flatten(lc.join(keep, "objectId", "left_semi"), "lc")
-    best = period.best_period(flat, ["objectId"], fixed_grid(*grid), LombScargle(), f_max=grid[0] + grid[1] * (grid[2] - 1), biggest=biggest)
+    # the cuts reach the scan of the sources; the scan packs the rows of an object and drops short light curves
+    rows = sources.where((F.col("psfFluxErr") < max_err) & (F.col("band") == band)).select("objectId", "mjd", "psfFlux", "psfFluxErr")
+    rows = rows.join(objects.select("objectId"), "objectId", "left_semi")
+    best = period.best_period(rows, ["objectId"], fixed_grid(*grid), LombScargle(), f_max=grid[0] + grid[1] * (grid[2] - 1), min_points=min_points + 1)
     best = best.where(period.alias_ok("period"))
     return best.orderBy(F.desc(F.round("s_to_n", 6)), "objectId").limit(n)
 

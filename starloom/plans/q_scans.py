@@ -211,16 +211,44 @@ def association_table(t):
     return a.select("objectId", "otherId", rnd("dist_arcsec").alias("dist_arcsec"), "refBand", rnd("meanFlux").alias("meanFlux"))
 
 
-@query("recompress_report")
+@query("recompress_report", "SELECT codec, true AS smaller, (SELECT count(*) FROM lineitem) AS rows FROM (VALUES ('snappy'), ('zstd'), ('gzip')) v(codec)")
 def recompress_report(t):
-    return storage.recompress(t("lineitem"), scratch_path(t.spark, "codec"), ["snappy", "zstd", "gzip"])
+    """Bytes per codec against the uncompressed table; sizes and seconds differ by machine, what must hold does not."""
+    path = scratch_path(t.spark, "codec")
+    r = storage.recompress(t("lineitem"), path, ["uncompressed", "snappy", "zstd", "gzip"])
+    plain = r.where("codec = 'uncompressed'").select(F.lit(1).alias("one"), F.col("bytes").alias("plain"))
+    rows = None
+    for codec in ("snappy", "zstd", "gzip"):
+        n = t.spark.read.parquet(f"{path}/{codec}").agg(F.count(F.lit(1)).alias("rows")).withColumn("codec", F.lit(codec))
+        rows = n if rows is None else rows.unionByName(n)
+    r = r.where("codec <> 'uncompressed'").withColumn("one", F.lit(1)).join(F.broadcast(plain), "one")  # one row
+    return r.join(rows, "codec").select("codec", (F.col("bytes") < F.col("plain")).alias("smaller"), "rows")
 
 
-@query("column_storage")
+@query(
+    "column_storage",
+    """WITH c AS (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS name, (SELECT count(*) FROM orders) AS n)
+      SELECT name, n AS "values", true AS has_size, true AS parts_sum FROM c""",
+)
 def column_storage(t):
+    """Bytes and values per column; the bytes are the writer's, so the checked columns say what must hold."""
+    a = storage.column_storage(t.spark, catalogs.file_sizes(t.spark, t.path("orders")))
+    total = a.agg(F.round(F.sum("percent"), 3).alias("all")).withColumn("one", F.lit(1))
+    known = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return a.where(F.col("name").isin(known)).withColumn("one", F.lit(1)).join(F.broadcast(total), "one").select("name", "values", ((F.col("size") > 0) & (F.col("bytes_per_value") > 0)).alias("has_size"), (F.col("all") == 100.0).alias("parts_sum"))
+
+
+@query(
+    "column_storage_merged",
+    """SELECT name, true AS in_orders, false AS in_lineitem FROM (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS name)
+      UNION ALL SELECT name, false, true FROM (SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS name)""",
+)
+def column_storage_merged(t):
+    """Two reports side by side; a column that one table lacks stays null there."""
     a = storage.column_storage(t.spark, catalogs.file_sizes(t.spark, t.path("orders")))
     b = storage.column_storage(t.spark, catalogs.file_sizes(t.spark, t.path("lineitem")))
-    return storage.merge_reports({"orders": a, "lineitem": b})
+    both = storage.merge_reports({"orders": a, "lineitem": b})
+    return both.select("name", (F.coalesce("percent_orders", F.lit(0.0)) > 0).alias("in_orders"), (F.coalesce("size_lineitem", F.lit(0)) > 0).alias("in_lineitem"))
 
 
 @query("tile_threshold", "WITH s AS (SELECT sum(n_chars) AS bytes, count(*) AS rows FROM documents) SELECT CAST(bytes AS BIGINT) AS bytes, rows, CAST(floor(300 * 1048576 / (bytes / rows)) AS BIGINT) AS rows_300mib, CAST(floor(1073741824 / (bytes / rows)) AS BIGINT) AS rows_1gib FROM s")

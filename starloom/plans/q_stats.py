@@ -12,7 +12,7 @@ from starloom.operators.nested import flatten, pack
 from starloom.operators.ordered import first_row, percentiles, same_keys, top_k, with_stats
 from starloom.operators.regions import ConeSearch
 from starloom.plans.q_sky import dist, hp
-from starloom.plans.registry import query, rnd
+from starloom.plans.registry import query, rnd, scatter_sql
 
 MAG = "(31.4e0 - 2.5e0 * log10(psfFlux))"
 
@@ -228,11 +228,15 @@ def error_budget(t):
     return rounded(j.select("half_bin", "n", "spread", "claimed", F.sqrt(F.greatest(F.lit(0.0), F.col("spread") * F.col("spread") - F.col("claimed") * F.col("claimed"))).alias("excess")))
 
 
-@query("group_sample")
+@query(
+    "group_sample",
+    f"""WITH h AS (SELECT objectId, visit, band, mjd, {scatter_sql("visit", 11)} AS h FROM forced_source)
+      SELECT objectId, visit, band, R6(mjd) AS mjd, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY objectId ORDER BY h, visit, mjd) AS INT) AS rank FROM h) WHERE rank <= 5""",
+)
 def group_sample(t):
-    """Five rows per object, chosen by a hash of row key and seed; the same rows on every run."""
-    df = t("forced_source").select("objectId", "visit", "band", "mjd")
-    return top_k(df, ["objectId"], [F.xxhash64("visit", "mjd", F.lit(11)), "visit", "mjd"], 5)
+    """Five rows per object, chosen by a scattered row key and seed; the same rows on every run."""
+    df = t("forced_source").select("objectId", "visit", "band", "mjd").withColumn("h", F.expr(scatter_sql("visit", 11)))
+    return top_k(df, ["objectId"], ["h", "visit", "mjd"], 5).drop("h").withColumn("mjd", rnd("mjd"))
 
 
 @query(

@@ -27,6 +27,13 @@ def rnd(col, digits: int = 6):
     return F.round(F.col(col) if isinstance(col, str) else col, digits) + F.lit(0.0)
 
 
+def scatter_sql(key: str, seed: int) -> str:
+    """A whole number below 2147483647, scattered from a whole-number key; the text means the same in both engines."""
+    p = 2147483647
+    h = f"({key} % {p} * 48271 + {seed} * 16807) % {p}"
+    return f"(({h}) * ({h}) + 7919) % {p}"
+
+
 def _expand(text: str) -> str:
     """``R6(x)`` -> rounded x, as ``rnd`` does."""
     while True:

@@ -153,3 +153,39 @@ def test_direct_fluxes_are_detected_above_zero_only(spark):
     df = spark.createDataFrame(rows, "objectId long, band string, mjd double, f double, e double, df double, de double, visit long")
     r = feature_table(df, ["g"], {"direct": ("f", "e"), "dia": ("df", "de")}, tie="visit").select(F.col("g_direct_observation_count").alias("a"), F.col("g_dia_observation_count").alias("b")).first()
     assert (r.a, r.b) == (-1.0, 5.0)
+
+
+def test_all_pairs_in_blocks(spark, monkeypatch):
+    """Order statistics by repeated narrowing, with blocks and histograms far smaller than the pairs, equal a plain sort."""
+    from starloom.operators import pairs
+
+    rng = np.random.default_rng(5)
+    t = np.sort(np.concatenate([rng.uniform(0, 50, 60), np.arange(40) * 0.5]))
+    f, tie = rng.normal(size=100).round(1), rng.permutation(100)
+    plain = (pairs.equal_count(t, tie, f, 6), pairs.log_median(t, tie, f, 5), pairs.bootstrap(t, tie, f, f * 0, [0.0, 5.0, 20.0], 8, 1))
+    i, j = np.triu_indices(100, 1)
+    ok = t[j] > t[i]
+    i, j = i[ok], j[ok]
+    order = np.lexsort((tie[j], tie[i], t[j] - t[i]))
+    dt, d2 = (t[j] - t[i])[order], ((f[j] - f[i]) ** 2)[order]
+    per = len(dt) // 6
+    for k, (b, sf, n, tau) in enumerate(plain[0]):
+        own = slice(k * per, (k + 1) * per if k < 5 else None)
+        assert b == k and n == len(dt[own]) and math.isclose(sf, math.sqrt(d2[own].mean())) and math.isclose(tau, np.median(dt[own]))
+    for name, value in (("BLOCK_PAIRS", 300), ("COLLECT", 5), ("CELLS", 7)):
+        monkeypatch.setattr(pairs, name, value)
+    small = (pairs.equal_count(t, tie, f, 6), pairs.log_median(t, tie, f, 5), pairs.bootstrap(t, tie, f, f * 0, [0.0, 5.0, 20.0], 8, 1))
+    for a, b in zip(plain, small):
+        assert np.allclose(np.array(a), np.array(b))
+
+
+def test_short_and_constant_light_curves_have_pairs_or_none():
+    from starloom.operators import pairs
+
+    one, none = np.array([1.0]), np.zeros(0)
+    for t in (none, one, np.array([1.0, 1.0])):
+        z = np.zeros(len(t))
+        assert pairs.equal_count(t, z.astype(int), z, 3) == [] and pairs.log_median(t, z.astype(int), z, 3) == [] and pairs.bootstrap(t, z.astype(int), z, z, [0.0, 1.0], 3, 0) == []
+    t = np.arange(30.0)
+    assert [r[2] for r in pairs.log_median(t, np.arange(30), np.zeros(30), 3)] == [0.0] * 3
+    assert pairs.equal_count(t[:2], np.arange(2), t[:2], 4) == [(3, 1.0, 1, 1.0)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators import structure, udf
 from starloom.plans.catalogue import QUERIES
 from starloom.session import scratch_path
-from starloom.sources import catalogs
+from starloom.sources import catalogs, storage
 from starloom.streaming import chunks, versions
 
 
@@ -77,12 +77,12 @@ def test_late_old_version_does_not_win_and_batches_repeat(spark, tables):
     assert key(t.read()) == key(want)
 
 
-def test_detections_repeated_late_are_dropped(spark, tables):
+def test_repeated_detections_are_absorbed(spark, tables):
     src = scratch_path(spark, "dup")
     d = tables("dia_source").limit(300).withColumn("seen", F.timestamp_seconds(F.lit(1_700_000_000)))
     d.coalesce(1).write.parquet(src)
     d.coalesce(1).write.mode("append").parquet(src)
-    out = versions.import_versions(chunks.read_chunks(spark, src, d.schema, 1), "diaSourceId", ["mjd"], dedup=("diaSourceId", "seen"), buckets=4)
+    out = versions.import_versions(chunks.read_chunks(spark, src, d.schema, 1), "diaSourceId", ["mjd"], buckets=4)
     assert out.count() == 300
 
 
@@ -95,10 +95,11 @@ def test_samples_are_repeatable(spark, tables):
 
 
 def test_storage_reports(spark, tables):
-    r = {x["name"]: x for x in QUERIES["column_storage"].run(tables).collect()}
+    report = {n: storage.column_storage(spark, catalogs.file_sizes(spark, tables.path(n))) for n in ("orders", "lineitem")}
+    r = {x["name"]: x for x in storage.merge_reports(report).collect()}
     assert r["o_orderkey"]["size_orders"] > 0 and r["o_orderkey"]["size_lineitem"] is None
     assert sum(x["percent_lineitem"] or 0 for x in r.values()) == pytest.approx(100)
-    c = {x["codec"]: x["bytes"] for x in QUERIES["recompress_report"].run(tables).collect()}
+    c = {x["codec"]: x["bytes"] for x in storage.recompress(tables("lineitem"), scratch_path(spark, "codec"), ["snappy", "zstd", "gzip"]).collect()}
     assert set(c) == {"snappy", "zstd", "gzip"} and c["zstd"] < c["snappy"]
 
 
@@ -114,10 +115,9 @@ def test_bootstrap_brackets_the_estimate(spark, tables):
     assert inside > 0.6 * len(rows)
 
 
-def test_whole_tiles_are_bounded(spark, tables):
+def test_whole_tiles_come_at_once(spark, tables):
     df = tables("forced_source").select("objectId", "psfFlux")
     fn = lambda pdf: pdf.groupby("objectId", as_index=False).agg(n=("psfFlux", "size"))
     out = udf.map_tiles(df, ["objectId"], fn, "objectId bigint, n bigint")
     assert out.agg(F.sum("n")).first()[0] == df.count()
-    with pytest.raises(ValueError):
-        udf.map_tiles(df, ["objectId"], fn, "objectId bigint, n bigint", max_rows=10)
+    assert out.count() == df.select("objectId").distinct().count()

@@ -77,7 +77,7 @@ def test_structure(spark, skewed):
     edges = [0.0, 0.503, 3.003, 10.003]
     both(spark, lambda: structure.sf_fixed_bins(skewed, edges))
     both(spark, lambda: structure.sf2_basic(skewed, edges))
-    both(spark, lambda: structure.sf_equal_count(skewed, 4, 5.0))
+    both(spark, lambda: structure.sf_equal_count(skewed, 4))
 
 
 def test_period_scans(spark, skewed):
