@@ -34,48 +34,57 @@ def pair_blocks(t: np.ndarray):
 
 
 def select_ranks(stream, wanted: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
-    """Values at 0-based ranks: ``stream()`` yields (bin, value) arrays, ``wanted`` lists (bin, rank)."""
-    if not wanted:
-        return {}
-    low, high = {}, {}
-    for b, v in stream():
-        for k in np.unique(b).tolist():
-            own = v[b == k]
-            low[k], high[k] = min(low.get(k, np.inf), own.min()), max(high.get(k, -np.inf), own.max())
-    # (bin, rank) -> closed interval, values below it, values inside (unknown at first)
-    state = {w: [low[w[0]], high[w[0]], 0, None] for w in wanted}
+    """Values at 0-based ranks: ``stream()`` yields (bin, value) arrays, ``wanted`` lists (bin, rank).
+
+    A rank is known to lie in a region: a chain of histogram cells, each within
+    the one before.  Ranks in one region share its histogram.
+    """
+    regions = {(b, ()) for b, _ in wanted}
+    at = {w: ((w[0], ()), 0) for w in wanted}  # rank -> region, values below it
     while True:
-        open_ = [w for w, (lo, hi, _, n) in state.items() if lo < hi and (n is None or n > COLLECT)]
-        if not open_:
+        size, low, high = (dict.fromkeys(regions, x) for x in (0, np.inf, -np.inf))
+        for region, v in _inside(stream, regions):
+            size[region] += len(v)
+            low[region], high[region] = min(low[region], v.min()), max(high[region], v.max())
+        wide = {r for r in regions if low[r] < high[r] and size[r] > COLLECT}
+        if not wide:
             break
-        cells = {}
-        for w in open_:
-            lo, hi = state[w][:2]
-            edges = np.unique(np.concatenate([np.linspace(lo, hi, CELLS + 1), [np.nextafter(hi, np.inf)]]))
-            cells[w] = [edges, np.zeros(len(edges) - 1, np.int64)]
-        for b, v in stream():
-            for w in open_:
-                lo, hi = state[w][:2]
-                own = v[(b == w[0]) & (v >= lo) & (v <= hi)]
-                edges, count = cells[w]
-                count += np.bincount(np.searchsorted(edges, own, side="right") - 1, minlength=len(count))[: len(count)]
-        for w in open_:
-            edges, count = cells[w]
-            upto = np.cumsum(count)
-            c = int(np.searchsorted(upto, w[1] - state[w][2], side="right"))
-            below = state[w][2] + int(upto[c] - count[c])
-            state[w] = [edges[c], np.nextafter(edges[c + 1], -np.inf), below, int(count[c])]
-    found = {w: [] for w, (lo, hi, _, _) in state.items() if lo < hi}
-    if found:
-        for b, v in stream():
-            for w in found:
-                lo, hi = state[w][:2]
-                found[w].append(v[(b == w[0]) & (v >= lo) & (v <= hi)])
-    out = {w: float(lo) for w, (lo, _, _, _) in state.items()}
-    for w, parts in found.items():
-        k = w[1] - state[w][2]
-        out[w] = float(np.partition(np.concatenate(parts), k)[k])
-    return out
+        scale = {r: CELLS / (high[r] - low[r]) for r in wide}
+        count = {r: np.zeros(CELLS, np.int64) for r in wide}
+        for region, v in _inside(stream, wide):
+            count[region] += np.bincount(_cells(v, low[region], scale[region]), minlength=CELLS)
+        for w, (region, below) in at.items():
+            if region in wide:
+                upto = np.cumsum(count[region])
+                c = int(np.searchsorted(upto, w[1] - below, side="right"))
+                at[w] = (region[0], (*region[1], (low[region], scale[region], c))), below + int(upto[c] - count[region][c])
+        regions = {r for r, _ in at.values()}
+    few: dict = {r: [] for r in regions if low[r] < high[r]}
+    for region, v in _inside(stream, set(few)):
+        few[region].append(v)
+    few = {r: np.sort(np.concatenate(p)) for r, p in few.items()}
+    return {w: float(few[r][w[1] - below] if r in few else low[r]) for w, (r, below) in at.items()}
+
+
+def _cells(v: np.ndarray, low: float, scale: float) -> np.ndarray:
+    return np.minimum(((v - low) * scale).astype(np.int64), CELLS - 1)
+
+
+def _inside(stream, regions: set):
+    """The values of each region, block by block; regions of one bin share its first cells."""
+    heads = {(b, chain[:1][0][:2] if chain else None) for b, chain in regions}
+    for b, v in stream():
+        for k, head in heads:
+            own = v[b == k]
+            cell = _cells(own, *head) if head else None
+            for region in regions:
+                if region[0] != k or (region[1][0][:2] if region[1] else None) != head:
+                    continue
+                part = own if cell is None else own[cell == region[1][0][2]]
+                for lo, scale, c in region[1][1:]:
+                    part = part[_cells(part, lo, scale) == c]
+                if len(part):
+                    yield region, part
 
 
 def middle(n: int, first: int = 0) -> list[int]:
@@ -100,21 +109,22 @@ def equal_count(t, tie, f, nbins: int) -> list[tuple[int, float, int, float]]:
     mids = [middle(n, s) for s, n in zip(starts, sizes)]
     at = select_ranks(lags, [(0, r) for r in sorted({*starts[1:], *(r for m in mids for r in m)})])
     edges = np.array([at[0, s] for s in starts[1:]])
-    sums, below = np.zeros(len(starts)), np.zeros(len(edges), np.int64)
+    sums, counts = np.zeros(len(starts)), np.zeros(len(starts), np.int64)
     ties: list[tuple[np.ndarray, ...]] = []
     for i, j in pair_blocks(t):
         dt, d2 = t[j] - t[i], (f[j] - f[i]) ** 2
         k = np.searchsorted(edges, dt, side="left")
-        on = np.isin(dt, edges)
+        on = k < np.searchsorted(edges, dt, side="right")
         sums += np.bincount(k[~on], d2[~on], minlength=len(sums))
-        below += (dt[None, :] < edges[:, None]).sum(axis=1) if len(edges) else 0
+        counts += np.bincount(k[~on], minlength=len(sums))
         ties.append((dt[on], tie[i[on]], tie[j[on]], d2[on]))
     dt, a, b, d2 = (np.concatenate(c) for c in zip(*ties))
     order = np.lexsort((b, a, dt))
     dt, d2 = dt[order], d2[order]
     for e in np.unique(dt):
         own = np.flatnonzero(dt == e)
-        rank = int(below[np.searchsorted(edges, e)]) + np.arange(len(own))
+        # smaller lags, and the ties at smaller edges, come before
+        rank = int(counts[: np.searchsorted(edges, e) + 1].sum()) + own
         sums += np.bincount(np.minimum(rank // per, len(sums) - 1), d2[own], minlength=len(sums))
     return [(names[k], float(np.sqrt(sums[k] / n)), int(n), float(np.mean([at[0, r] for r in mids[k]]))) for k, n in enumerate(sizes) if n]
 
