@@ -67,7 +67,8 @@ def decide(rows: DataFrame, bits: int = FILTER_BITS, hashes: int = HASHES) -> Da
         "doc_id", "row_id", "sha", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
     )
     maybe = flagged.where("maybe").select("doc_id", "row_id", "sha")
-    groups = group_winners(maybe)
+    # written, so that both sides of the join come from shuffles and a hot group can be split
+    groups = materialize(group_winners(maybe))
     joined = maybe.join(groups, F.col("sha") == F.col("g_sha")).select(
         "doc_id", "row_id", "sha", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept")
     )
