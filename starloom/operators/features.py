@@ -176,7 +176,10 @@ def feature_table(df: DataFrame, bands: list[str], fluxes: dict[str, tuple[str,
         s = s.where(size > n_sigma * F.col("psfFluxErr"))
         long = s if long is None else long.unionByName(s)
     keys = [key, "band", "kind"]
-    parts = [basic(long, keys), moments(long, keys), chi2(long, keys), linear(long, keys), cusum(long, keys=keys)]
+    parts = [
+        basic(long, keys), value_range(long, keys), beyond_n_std(long, (2.0, 3.0), keys), moments(long, keys), chi2(long, keys), linear(long, keys),
+        eta(long, keys), stetson_k(long, keys), anderson_darling(long, keys), otsu(long, keys), cusum(long, keys=keys),
+    ]
     table = combine(parts, keys)
     names = [c for c in table.columns if c not in keys]
     slots = [f"{b}_{k}" for k in fluxes for b in bands]

@@ -125,24 +125,34 @@ def lc_binned(t):
     return rounded(features.combine(parts), 6, weighted_mean=4, reduced_chi2=2)
 
 
+# columns of the table and the digits they are compared at; all families, all bands, both kinds of flux
+_TABLE = {
+    "observation_count": 6, "duration": 6, "amplitude": 6, "percent_amplitude": 6, "magnitude_percentage_ratio": 4, "inter_percentile_range_5": 6,
+    "inter_percentile_range_20": 6, "median": 6, "beyond_2_std": 6, "beyond_3_std": 6, "mean_variance": 4, "skew": 4, "weighted_mean": 4, "reduced_chi2": 2,
+    "linear_trend": 4, "eta": 4, "stetson_k": 4, "cusum": 4,
+}
+_KINDS = {"direct": ("psfFlux", "psfFluxErr"), "dia": ("psfDiffFlux", "psfDiffFluxErr")}
+_BANDS = ["g", "r", "i", "z", "y"]
+
+
 def _table_sql():
-    kinds = {"direct": ("psfFlux", "psfFluxErr"), "dia": ("psfDiffFlux", "psfDiffFluxErr")}
-    stack = " UNION ALL ".join(f"SELECT objectId, band, '{k}' AS kind, mjd, {f} AS y, {e} AS e, diaSourceId AS id FROM dia_source WHERE {'abs(' + f + ')' if k == 'dia' else f} > 5 * {e}" for k, (f, e) in kinds.items())
+    stack = " UNION ALL ".join(f"SELECT objectId, band, '{k}' AS kind, mjd, {f} AS y, {e} AS e, diaSourceId AS id FROM dia_source WHERE {'abs(' + f + ')' if k == 'dia' else f} > 5 * {e}" for k, (f, e) in _KINDS.items())
     aggs = []
-    for k in kinds:
-        for b in "gr":
-            f = f"FILTER (band = '{b}' AND kind = '{k}')"
-            aggs.append(f"CAST(coalesce(max(n) {f}, -1) AS DOUBLE) AS {b}_{k}_observation_count, coalesce(R6(max(dur) {f}), -1e0) AS {b}_{k}_duration, coalesce(R6(max(skew) {f}), -1e0) AS {b}_{k}_skew, coalesce(R6(max(slope) {f}), -1e0) AS {b}_{k}_linear_trend, coalesce(R6(max(cus) {f}), -1e0) AS {b}_{k}_cusum")
-    return f"""WITH st AS ({stack}), c AS (SELECT *, avg(y) OVER w AS m, stddev_samp(y) OVER w AS sd FROM st WINDOW w AS (PARTITION BY objectId, band, kind)),
-      r AS (SELECT *, sum(y - m) OVER (PARTITION BY objectId, band, kind ORDER BY mjd, id ROWS UNBOUNDED PRECEDING) AS run FROM c),
-      a AS (SELECT objectId, band, kind, count(*) AS n, max(mjd) - min(mjd) AS dur, skewness(y) AS skew, regr_slope(y, mjd - 60000e0) AS slope, (max(run) - min(run)) / nullif(count(*) * max(sd), 0) AS cus FROM r GROUP BY 1, 2, 3)
+    for k in _KINDS:
+        for b in _BANDS:
+            aggs += [f"coalesce(round(CAST(max({c}) FILTER (band = '{b}' AND kind = '{k}') AS DOUBLE), {d}) + 0e0, -1e0) AS {b}_{k}_{c}" for c, d in _TABLE.items()]
+    return f"""WITH st AS ({stack}), c AS (SELECT *, avg(y) OVER w AS m, stddev_samp(y) OVER w AS sd, sum(y / (e * e)) OVER w / sum(1 / (e * e)) OVER w AS wm FROM st WINDOW w AS (PARTITION BY objectId, band, kind)),
+      r AS (SELECT *, sum(y - m) OVER o AS run, y - lag(y) OVER (PARTITION BY objectId, band, kind ORDER BY mjd, id) AS d FROM c WINDOW o AS (PARTITION BY objectId, band, kind ORDER BY mjd, id ROWS UNBOUNDED PRECEDING)),
+      g AS (SELECT objectId, band, kind, count(*) AS n, max(mjd) - min(mjd) AS duration, min(y) AS lo, max(y) AS hi, quantile_cont(y, 0.05) AS q05, quantile_cont(y, 0.2) AS q20, quantile_cont(y, 0.4) AS q40, median(y) AS q50, quantile_cont(y, 0.6) AS q60,
+        quantile_cont(y, 0.8) AS q80, quantile_cont(y, 0.95) AS q95, avg(CASE WHEN abs(y - m) > 2 * sd THEN 1e0 ELSE 0e0 END) AS beyond_2_std, avg(CASE WHEN abs(y - m) > 3 * sd THEN 1e0 ELSE 0e0 END) AS beyond_3_std,
+        stddev_samp(y) / nullif(avg(y), 0) AS mean_variance, skewness(y) AS skew, max(wm) AS weighted_mean, sum(power((y - wm) / e, 2)) / nullif(count(*) - 1, 0) AS reduced_chi2, regr_slope(y, mjd - 60000e0) AS linear_trend,
+        sum(d * d) / nullif((count(*) - 1) * var_samp(y), 0) AS eta, sum(abs((y - wm) / e)) / nullif(sqrt(count(*) * sum(power((y - wm) / e, 2))), 0) AS stetson_k, (max(run) - min(run)) / nullif(count(*) * max(sd), 0) AS cusum FROM r GROUP BY 1, 2, 3),
+      a AS (SELECT *, n AS observation_count, (hi - lo) / 2 AS amplitude, greatest(hi - q50, q50 - lo) AS percent_amplitude, (q60 - q40) / nullif(q95 - q05, 0) AS magnitude_percentage_ratio, q95 - q05 AS inter_percentile_range_5, q80 - q20 AS inter_percentile_range_20, q50 AS median FROM g)
       SELECT o.objectId, {', '.join(aggs)} FROM (SELECT DISTINCT objectId FROM dia_source) o LEFT JOIN a USING (objectId) GROUP BY 1"""
 
 
 @query("lc_feature_table", _table_sql())
 def lc_table(t):
-    w = features.feature_table(t("dia_source"), ["g", "r"], {"direct": ("psfFlux", "psfFluxErr"), "dia": ("psfDiffFlux", "psfDiffFluxErr")}, tie="diaSourceId")
-    keep = [f"{b}_{k}_{f}" for k in ("direct", "dia") for b in "gr" for f in ("observation_count", "duration", "skew", "linear_trend", "cusum")]
-    return rounded(w.select("objectId", *keep))
-
-
+    w = features.feature_table(t("dia_source"), _BANDS, _KINDS, tie="diaSourceId")
+    keep = {f"{b}_{k}_{f}": d for k in _KINDS for b in _BANDS for f, d in _TABLE.items()}
+    return rounded(w.select("objectId", *keep), 6, **keep)
