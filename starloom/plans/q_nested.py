@@ -105,17 +105,20 @@ def count_nested_by(t):
     return nested.count_nested(df, ["objectId"], "lc", "band", ["g", "r", "w"])
 
 
+BANDS = "ugrizy"
+
+
 @query(
     "nested_split_by",
-    """WITH c AS (SELECT objectId, count(*) FILTER (band = 'g') AS g, count(*) FILTER (band = 'r') AS r, R4(coalesce(sum(psfFlux) FILTER (band = 'r'), 0)) AS r_total FROM forced_source GROUP BY 1)
-       SELECT * FROM c WHERE g >= 100 OR r >= 100""",
+    "WITH c AS (SELECT objectId, " + ", ".join(f"count(*) FILTER (band = '{b}') AS {b}, R4(coalesce(sum(psfFlux) FILTER (band = '{b}'), 0)) AS {b}_total" for b in BANDS)
+    + " FROM forced_source GROUP BY 1) SELECT * FROM c WHERE " + " OR ".join(f"{b} >= 100" for b in BANDS),
 )
 def nested_split_by(t):
-    df = nested.split_by(nested.select_fields(packed(t), "lc", ["mjd", "band", "psfFlux"]), "lc", "band", ["g", "r"])
-    df = nested.long_enough(df, ["objectId"], ["lc_g", "lc_r"], 100)
-    return df.groupBy("objectId").agg(
-        F.sum(F.size("lc_g")).alias("g"), F.sum(F.size("lc_r")).alias("r"), rnd(F.sum(nested.list_sum("lc_r", lambda x: x["psfFlux"])), 4).alias("r_total")
-    )
+    df = nested.split_by(nested.select_fields(packed(t), "lc", ["mjd", "band", "psfFlux"]), "lc", "band", list(BANDS))
+    df = nested.long_enough(df, ["objectId"], [f"lc_{b}" for b in BANDS], 100)
+    counts = [F.sum(F.size(f"lc_{b}")).alias(b) for b in BANDS]
+    totals = [rnd(F.sum(nested.list_sum(f"lc_{b}", lambda x: x["psfFlux"])), 4).alias(f"{b}_total") for b in BANDS]
+    return df.groupBy("objectId").agg(*counts, *totals)
 
 
 @query(

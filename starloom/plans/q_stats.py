@@ -122,6 +122,8 @@ FIELDS = {
     "globular": (6.02, -72.08),
     "dwarf": (40.00, -34.45),
 }
+BANDS = "ugrizy"
+
 # the test positions lie on one curve of the sky, so wider cones on it are used beside the six of 2 degrees
 WIDE = {"curve_a": (180.0, 30.0, 20.0), "curve_b": (252.0, 6.0, 20.0), "curve_c": (350.0, -26.0, 20.0)}
 
@@ -134,16 +136,16 @@ def _field_sql():
 @query(
     "field_band_stats",
     f"""WITH m AS ({_field_sql()}), j AS (SELECT m.field, f.* FROM m JOIN forced_source f USING (objectId))
-      SELECT field, """ + ", ".join(f"R6(avg(psfFlux) FILTER (band = '{b}')) AS mean_{b}, R6(min(psfFlux) FILTER (band = '{b}')) AS min_{b}, R6(max(psfFlux) FILTER (band = '{b}')) AS max_{b}, count(*) FILTER (band = '{b}') AS len_{b}" for b in "gr") + " FROM j GROUP BY field",
+      SELECT field, """ + ", ".join(f"R6(avg(psfFlux) FILTER (band = '{b}')) AS mean_{b}, R6(min(psfFlux) FILTER (band = '{b}')) AS min_{b}, R6(max(psfFlux) FILTER (band = '{b}')) AS max_{b}, count(*) FILTER (band = '{b}') AS len_{b}" for b in BANDS) + " FROM j GROUP BY field",
 )
 def field_band_stats(t):
     regions = {n: ConeSearch(r, d, 7200.0) for n, (r, d) in FIELDS.items()} | {n: ConeSearch(r, d, w * 3600) for n, (r, d, w) in WIDE.items()}
     fields = stats.tag_regions(t("sky_object"), regions, "ra", "dec").select("field", "objectId")
     parts = stats.band_stats(t("forced_source"), ["psfFlux"], ["objectId", "band"])
     comb = stats.weighted_combine(fields.join(parts, "objectId"), ["psfFlux"], ["field", "band"])
-    wide = comb.groupBy("field").pivot("band", ["g", "r"]).agg(F.first("mean_psfFlux").alias("mean"), F.first("min_psfFlux").alias("min"), F.first("max_psfFlux").alias("max"), F.first("len").alias("len"))
-    out = [rnd(f"{b}_{s}").alias(f"{s}_{b}") for b in "gr" for s in ("mean", "min", "max")]
-    return wide.select("field", *out, *[F.coalesce(f"{b}_len", F.lit(0)).cast("long").alias(f"len_{b}") for b in "gr"])
+    wide = comb.groupBy("field").pivot("band", list(BANDS)).agg(F.first("mean_psfFlux").alias("mean"), F.first("min_psfFlux").alias("min"), F.first("max_psfFlux").alias("max"), F.first("len").alias("len"))
+    out = [rnd(f"{b}_{s}").alias(f"{s}_{b}") for b in BANDS for s in ("mean", "min", "max")]
+    return wide.select("field", *out, *[F.coalesce(f"{b}_len", F.lit(0)).cast("long").alias(f"len_{b}") for b in BANDS])
 
 
 @query(
@@ -264,12 +266,12 @@ def color_fraction(t):
 
 @query(
     "wide_to_long",
-    """SELECT objectId, band, R6(avg(psfFlux)) AS value, 'mean' AS origin FROM forced_source WHERE band IN ('g', 'r') GROUP BY 1, 2
+    """SELECT objectId, band, R6(avg(psfFlux)) AS value, 'mean' AS origin FROM forced_source GROUP BY 1, 2
        UNION ALL SELECT objectId, band, R6(psfFlux), 'row' FROM dia_source WHERE psfFlux > 3000""",
 )
 def wide_to_long(t):
-    wide = t("forced_source").groupBy("objectId").pivot("band", ["g", "r"]).agg(F.avg("psfFlux"))
-    long = wide.unpivot(["objectId"], ["g", "r"], "band", "value").where("value IS NOT NULL").withColumn("origin", F.lit("mean"))
+    wide = t("forced_source").groupBy("objectId").pivot("band", list(BANDS)).agg(F.avg("psfFlux"))
+    long = wide.unpivot(["objectId"], list(BANDS), "band", "value").where("value IS NOT NULL").withColumn("origin", F.lit("mean"))
     rows = flatten(pack(t("dia_source"), ["objectId"], ["band", "psfFlux"], ["mjd", "diaSourceId"]), "lc").where("psfFlux > 3000")
     return rounded(long.unionByName(rows.select("objectId", "band", F.col("psfFlux").alias("value"), F.lit("row").alias("origin"))))
 
