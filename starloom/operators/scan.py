@@ -105,13 +105,12 @@ class BoxSearch:
         return np.ones(len(k), dtype=bool)
 
     def sums(self, t, y, w, k, g):
-        out = np.empty((2 * self.bins, len(k)))
-        for i, p in enumerate(g["f0"] + k * g["step"]):
-            ph = (t - self.t_ref) / p
-            b = np.minimum((np.floor((ph - np.floor(ph)) * self.bins)).astype(int), self.bins - 1)
-            out[: self.bins, i] = np.bincount(b, w, self.bins)
-            out[self.bins :, i] = np.bincount(b, w * y, self.bins)
-        return out
+        # one count over (grid point, phase bin) for the whole block
+        ph = (t - self.t_ref)[None, :] / (g["f0"] + k * g["step"])[:, None]
+        b = np.minimum(np.floor((ph - np.floor(ph)) * self.bins).astype(np.int64), self.bins - 1)
+        cell = (np.arange(len(k))[:, None] * self.bins + b).ravel()
+        sums = [np.bincount(cell, np.tile(v, len(k)), len(k) * self.bins).reshape(len(k), self.bins).T for v in (w, w * y)]
+        return np.concatenate(sums)
 
     def score(self, a, w, y, yy):
         sw, sy = a[: self.bins] / w, (a[self.bins :] - a[: self.bins] * (y / w)) / w
