@@ -29,7 +29,7 @@ def main():
     keys = os.environ.get("BENCH_KEYS", "")
     from starloom.plans.catalogue import QUERIES
     from starloom.plans.views import Tables
-    from starloom.session import get_spark
+    from starloom.session import clear_scratch, get_spark
 
     names = list(QUERIES) if keys == "all" else [k for k in keys.split(",") if k] or HEADLINE
     spark = get_spark("bench", f"local[{cpus}]", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__driver__memory="8g")
@@ -43,6 +43,7 @@ def main():
         t0 = time.time()
         QUERIES[k].run(tables).write.format("noop").mode("overwrite").save()
         times[k] = round(time.time() - t0, 3)
+        clear_scratch(spark)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(folder.rstrip("/"))}), flush=True)
     spark.stop()
 

@@ -56,9 +56,28 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder; ``clear_scratch`` removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote to the shared folder, at the end of a job; returns their number.
+
+    Results are lazy and read these tables, so call it once they are stored or
+    collected, never before.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _SCRATCH:
+        path = hadoop(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -189,3 +189,17 @@ def test_short_and_constant_light_curves_have_pairs_or_none():
     t = np.arange(30.0)
     assert [r[2] for r in pairs.log_median(t, np.arange(30), np.zeros(30), 3)] == [0.0] * 3
     assert pairs.equal_count(t[:2], np.arange(2), t[:2], 4) == [(3, 1.0, 1, 1.0)]
+
+
+def test_scratch_goes_at_the_end_of_a_job(spark, monkeypatch):
+    import os
+
+    from starloom import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    df = session.materialize(spark.range(10))
+    path = session._SCRATCH[0]
+    assert df.count() == 10 and os.path.exists(path)
+    unused = session.scratch_path(spark, "unused")
+    assert session.clear_scratch(spark) == 1
+    assert not os.path.exists(path) and not os.path.exists(unused)
