@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Writer settings that hold a codec's level.
+LEVELS = {"zstd": "parquet.compression.codec.zstd.level", "gzip": "zlib.compress.level"}
+
+
 def column_storage(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Compressed bytes and values per column over all files of ``files`` (path).
 
@@ -58,16 +62,24 @@ def merge_reports(reports: dict[str, DataFrame]) -> DataFrame:
 
 
 def recompress(df: DataFrame, path: str, codecs: list[str]) -> DataFrame:
-    """Write the table once per codec; report bytes and seconds of each."""
+    """Write the table once per codec; report bytes and seconds of each.
+
+    A codec may carry a level, as ``zstd:9`` or ``gzip:9``.
+    """
     from starloom.sources.catalogs import file_sizes
 
     spark = df.sparkSession
     out = None
     for codec in codecs:
         t0 = time.time()
-        df.write.mode("overwrite").option("compression", codec).parquet(f"{path}/{codec}")
+        name, _, level = codec.partition(":")
+        out_path = f"{path}/{codec.replace(':', '-')}"
+        writer = df.write.mode("overwrite").option("compression", name)
+        if level:
+            writer = writer.option(LEVELS[name], level)
+        writer.parquet(out_path)
         seconds = time.time() - t0
-        row = file_sizes(spark, f"{path}/{codec}").agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+        row = file_sizes(spark, out_path).agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
         row = row.select(F.lit(codec).alias("codec"), "bytes", "files", F.lit(seconds).alias("seconds"))
         out = row if out is None else out.unionByName(row)
     return out
