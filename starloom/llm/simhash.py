@@ -280,19 +280,23 @@ def first_kept(sets: list[np.ndarray], kept: list[np.ndarray], least: float) ->
     return stays
 
 
-# Members of a candidate group that a task compares with each other at a time.
-GROUP_BLOCK = 64
+# Members of a candidate group that a task compares with each other at a time,
+# and mean number of later members that it holds against those that stay.
+GROUP_BLOCK = 400
+GROUP_REST = 400
 
 
-def redundant(members: DataFrame, least: float, block: int = GROUP_BLOCK) -> DataFrame:
+def redundant(members: DataFrame, least: float, block: int | None = None, rest: int | None = None) -> DataFrame:
     """Rows (doc_id, text_hash) that go, from (part, doc_id, text_hash, hashes).
 
     In a candidate group (``part``) documents are visited by id; one goes if it
     is at least ``least`` similar to one that stays.  Each round settles the first
     ``block`` documents of every group among themselves and then holds all later
-    ones against those that stay, so no group is ever gathered, and the number
-    of rounds follows the documents that stay, not the copies.
+    ones, dealt to parts of bounded size, against those that stay.  So no group
+    is ever gathered, and the number of rounds follows the documents that stay,
+    not the copies.
     """
+    block, rest = block or GROUP_BLOCK, rest or GROUP_REST
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
     out, schema = None, schema_of([(f.name, f.dataType) for f in members.schema.fields] + [("stays", "boolean")])
 
@@ -301,6 +305,11 @@ def redundant(members: DataFrame, least: float, block: int = GROUP_BLOCK) -> Dat
         sets = [np.asarray(x.values) for x in group["hashes"]]
         return group.append_column("stays", pa.array(first_kept(sets, [], least), pa.bool_()))
 
+    def against(group: pa.Table, kept: pa.Table) -> pa.Table:
+        stay = [np.asarray(x.values) for x in kept["hashes"]]
+        result = [first_kept([np.asarray(x.values)], stay, least)[0] for x in group["hashes"]]
+        return group.drop_columns(["deal"]).append_column("stays", pa.array(result, pa.bool_()))
+
     while True:
         heads = members.select("part", "doc_id", "text_hash").withColumn("rank", F.row_number().over(W.partitionBy("part").orderBy(*order))).where(F.col("rank") <= block)
         same = F.col("part").eqNullSafe(F.col("h_part")) & F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash"))
@@ -309,16 +318,16 @@ def redundant(members: DataFrame, least: float, block: int = GROUP_BLOCK) -> Dat
         gone = settled.where(~F.col("stays")).select("doc_id", "text_hash")
         out = gone if out is None else out.union(gone)
         later = members.join(heads, same, "left_anti")
-        stays = settled.where("stays").groupBy("part").agg(F.collect_list("hashes").alias("kept")).select(F.col("part").alias("k_part"), "kept")
-
-        def against(b: pa.RecordBatch) -> pa.RecordBatch:
-            result = []
-            for mine, kept in zip(b.column("hashes"), b.column("kept")):
-                result.append(first_kept([np.asarray(mine.values)], [np.asarray(k.values) for k in kept], least)[0])
-            names = [n for n in b.schema.names if n not in ("kept", "k_part")]
-            return pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(result, pa.bool_())], [*names, "stays"])
-
-        checked = materialize(arrow_map(later.join(stays, F.col("part") == F.col("k_part")), against, [(f.name, f.dataType) for f in schema.fields]))
+        # every part of a group's later members meets all that stay of its block
+        size = later.groupBy("part").agg((F.floor(F.count(F.lit(1)) / rest) + 1).cast("int").alias("parts"))
+        size = materialize(size.select(F.col("part").alias("s_part"), "parts"))
+        if not size.limit(1).count():
+            return out
+        dealt = later.join(size, F.col("part") == F.col("s_part")).withColumn("deal", F.pmod(F.col("text_hash"), F.col("parts")).cast("int"))
+        stays = settled.where("stays").join(size, F.col("part") == F.col("s_part"))
+        stays = stays.select("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("deal"), "hashes")
+        both = dealt.select(*[f.name for f in members.schema.fields], "deal").groupBy("part", "deal").cogroup(stays.groupBy("part", "deal"))
+        checked = materialize(both.applyInArrow(against, schema))
         out = out.union(checked.where(~F.col("stays")).select("doc_id", "text_hash"))
         members = checked.where("stays").drop("stays")
         if not members.limit(1).count():

@@ -136,6 +136,7 @@ def test_drop_near_duplicates(spark, monkeypatch):
     # one large group: every copy has a word of its own
     rows += [(200 + k, base[0] + f" tail{k}") for k in range(40)] + [(None, base[1]), (500, None), (501, ""), (3, base[3])]
     monkeypatch.setattr(simhash, "GROUP_BLOCK", 4)
+    monkeypatch.setattr(simhash, "GROUP_REST", 3)
     df = frame(spark, rows)
     out = simhash.drop_near_duplicates(df)
     assert out.columns == df.columns
