@@ -63,8 +63,11 @@ def shingle_hashes(raw: bytes, shingle: int) -> np.ndarray:
 def fingerprint(raw: bytes, shingle: int, distinct: bool = False) -> int:
     """SimHash of a text given as UTF-8: a bit is 1 if set in over half of the shingles' hashes, each shingle once if ``distinct``."""
     h = shingle_hashes(raw, shingle)
-    if distinct:
-        h = np.unique(h)
+    return majority(np.unique(h) if distinct else h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     n = len(h)
     counts = np.zeros(BITS, np.int64)
     for i in range(0, n, 1 << 16):
@@ -334,19 +337,62 @@ def redundant(members: DataFrame, least: float, block: int | None = None, rest:
             return out
 
 
+# MinHash route of the candidate groups: bands, and minima that a band joins.  Two
+# texts of Jaccard similarity s share a band with probability 1 - (1 - s ** 8) ** 64:
+# all but 8 in a million at 0.8.
+BANDS = 64
+BAND_ROWS = 8
+
+# Shingles that meet all multipliers at a time.
+BAND_STEP = 256
+
+
+def multipliers(n: int) -> np.ndarray:
+    """Fixed pseudo-random odd numbers."""
+    return np.array([xxhash.xxh32_intdigest(f"minhash-{i}".encode(), SEED) | 1 for i in range(n)], np.uint32)
+
+
+def band_keys(h: np.ndarray, mult: np.ndarray) -> np.ndarray:
+    """One key per band from distinct shingle hashes; a minimum per multiplier, ``BAND_ROWS`` minima per key."""
+    x = (h >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(mult), 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(x), BAND_STEP):
+        np.minimum(least, np.multiply.outer(mult, x[i : i + BAND_STEP]).min(axis=1), out=least)
+    raw, size = least.astype("<u4").tobytes(), 4 * BAND_ROWS
+    return np.array([xxhash.xxh64_intdigest(raw[k : k + size], k) for k in range(0, len(raw), size)], np.uint64)
+
+
+def band_links(keys: DataFrame) -> DataFrame:
+    """Links (u, v) that connect all nodes of a key, from (node, key): each to the smallest one, so no key is gathered."""
+    groups = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v < most")
+    groups = materialize(groups.select(F.col("key").alias("g_key"), "v"))
+    return keys.join(groups, F.col("key") == F.col("g_key")).where("node > v").select(F.col("node").alias("u"), "v")
+
+
 def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bits: int, max_bits2: int, agree: int, pivots: int) -> DataFrame:
     """Rows (m_id, part): the documents that share a candidate group with others, null ids included."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
 
     def work(b: pa.RecordBatch) -> pa.RecordBatch:
-        raw = [r.as_py() or b"" for r in b.column("raw")]
-        fp = [np.array([fingerprint(r, n, True) for r in raw], np.uint64).view(np.int64) for n in (1, words)]
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp[0]), pa.array(fp[1])], ["doc_id", "fp", "fp2"])
-
-    prints = arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long"), ("fp2", "long")])
+        fp, fp2, keys = [], [], []
+        for r in b.column("raw"):
+            raw = r.as_py() or b""
+            h = np.unique(shingle_hashes(raw, words))
+            fp.append(fingerprint(raw, 1, True))
+            fp2.append(majority(h))
+            keys.append(band_keys(h, mult))
+        fp, fp2 = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, fp2))
+        at = pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32())
+        keys = pa.ListArray.from_arrays(at, pa.array(np.concatenate(keys).view(np.int64)))
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), fp, fp2, keys], ["doc_id", "fp", "fp2", "keys"])
+
+    mult = multipliers(BANDS * BAND_ROWS)
+    prints = arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long"), ("fp2", "long"), ("keys", "array<long>")])
     prints = materialize(prints.withColumn("node", F.xxhash64("fp", "fp2")))
     points = materialize(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count(F.lit(1)).alias("n")))
-    linked = components(fingerprint_links(points, max_bits, agree, pivots, max_bits2=max_bits2)).select(F.col("node").alias("l_node"), "component")
+    links = fingerprint_links(points, max_bits, agree, pivots, max_bits2=max_bits2)
+    links = links.union(band_links(prints.select("node", F.explode("keys").alias("key"))))
+    linked = components(links).select(F.col("node").alias("l_node"), "component")
     parts = points.join(linked, F.col("node") == F.col("l_node"), "left").where("n > 1 or component is not null")
     parts = parts.select(F.col("node").alias("p_node"), F.coalesce("component", "node").alias("part"))
     return materialize(prints.join(parts, F.col("node") == F.col("p_node")).select(F.col("doc_id").alias("m_id"), "part").distinct())
@@ -358,10 +404,11 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates, with their columns.
 
-    Two SimHash fingerprints of each text, of its distinct words and of its
-    distinct ``words``-word shingles, give candidate groups: texts are linked if
-    the first differ in up to ``max_bits`` and the second in up to ``max_bits2``
-    bits.  In each group documents are
+    Two routes give candidate groups.  Texts are linked if the SimHash
+    fingerprints of their distinct words differ in up to ``max_bits`` and those of
+    their distinct ``words``-word shingles in up to ``max_bits2`` bits, or if they
+    share a MinHash band of these shingles; the first finds scattered edits, the
+    second any pair of high similarity.  In each group documents are
     visited by id, null ids first, and one goes if it shares at least ``least`` of its
     ``words``-word shingles (Jaccard) with one that stays.  Equal texts count as
     similar, of rows with equal id and text both stay.  Null and empty texts have

@@ -125,6 +125,26 @@ def test_pivots_discard_only_distant_pairs():
     assert near == {(a, b) for a in range(400) for b in range(a + 1, 400) if int(fp[a] ^ fp[b]).bit_count() <= 4}
 
 
+def test_near_stage_finds_all_pairs_of_high_jaccard(spark):
+    """Edits in one place of a text; the plain version compares all pairs by Jaccard only."""
+    rng = random.Random(23)
+    rows = []
+    for k in range(40):
+        w = prose(rng, rng.randint(80, 160)).split()
+        n = len(w)
+        block = prose(rng, n // 15).split()
+        edits = [w + prose(rng, n // 5).split(), w[: n - n // 7], w[: n // 3] + block + w[n // 3 + len(block) :]]
+        rows += [(4 * k + i, " ".join(t)) for i, t in enumerate([w, *edits])]
+    kept = []
+    for i, t in rows:
+        s = set(brute.shingles(t, 5))
+        if not any(len(s & o) >= 0.8 * len(s | o) for _, o in kept):
+            kept.append((i, s))
+    assert len(kept) < 60
+    out = simhash.drop_near_duplicates(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in out) == [i for i, _ in kept]
+
+
 def test_drop_near_duplicates(spark, monkeypatch):
     rng = random.Random(5)
     base = [prose(rng, 150) for _ in range(12)]
