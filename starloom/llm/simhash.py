@@ -370,13 +370,14 @@ def band_links(keys: DataFrame) -> DataFrame:
 
 
 def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bits: int, max_bits2: int, agree: int, pivots: int) -> DataFrame:
-    """Rows (m_id, part): the documents that share a candidate group with others, null ids included."""
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+    """Rows (m_id, m_hash, part): the documents that share a candidate group with others, by id and text hash, null ids included."""
+    raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
 
     def work(b: pa.RecordBatch) -> pa.RecordBatch:
         fp, fp2, keys = [], [], []
         for r in b.column("raw"):
-            raw = r.as_py() or b""
+            raw = r.as_py()
             h = np.unique(shingle_hashes(raw, words))
             fp.append(fingerprint(raw, 1, True))
             fp2.append(majority(h))
@@ -384,10 +385,11 @@ def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bi
         fp, fp2 = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, fp2))
         at = pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32())
         keys = pa.ListArray.from_arrays(at, pa.array(np.concatenate(keys).view(np.int64)))
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), fp, fp2, keys], ["doc_id", "fp", "fp2", "keys"])
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp, fp2, keys], ["doc_id", "text_hash", "fp", "fp2", "keys"])
 
     mult = multipliers(BANDS * BAND_ROWS)
-    prints = arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long"), ("fp2", "long"), ("keys", "array<long>")])
+    fields = [("doc_id", rows.schema["doc_id"].dataType), ("text_hash", "long"), ("fp", "long"), ("fp2", "long"), ("keys", "array<long>")]
+    prints = arrow_map(rows, work, fields)
     prints = materialize(prints.withColumn("node", F.xxhash64("fp", "fp2")))
     points = materialize(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count(F.lit(1)).alias("n")))
     links = fingerprint_links(points, max_bits, agree, pivots, max_bits2=max_bits2)
@@ -395,7 +397,9 @@ def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bi
     linked = components(links).select(F.col("node").alias("l_node"), "component")
     parts = points.join(linked, F.col("node") == F.col("l_node"), "left").where("n > 1 or component is not null")
     parts = parts.select(F.col("node").alias("p_node"), F.coalesce("component", "node").alias("part"))
-    return materialize(prints.join(parts, F.col("node") == F.col("p_node")).select(F.col("doc_id").alias("m_id"), "part").distinct())
+    # equal texts have equal fingerprints, so an id and a text have one part
+    found = prints.join(parts, F.col("node") == F.col("p_node"))
+    return materialize(found.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), "part").distinct())
 
 
 def drop_near_duplicates(
@@ -419,7 +423,7 @@ def drop_near_duplicates(
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own_id, raw = F.col(f"row.`{doc_id}`"), F.coalesce(F.col(f"row.`{text}`"), F.lit("")).cast("binary")
     slim = rows.select(own_id.alias("doc_id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
-    slim = slim.join(found, F.col("doc_id").eqNullSafe(F.col("m_id"))).select("part", "doc_id", "text_hash", "raw")
+    slim = slim.join(found, (F.col("text_hash") == F.col("m_hash")) & F.col("doc_id").eqNullSafe(F.col("m_id"))).select("part", "doc_id", "text_hash", "raw")
 
     def hashed(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = [np.unique(shingle_hashes(r.as_py(), words)).view(np.int64) for r in b.column("raw")]

@@ -145,6 +145,24 @@ def test_near_stage_finds_all_pairs_of_high_jaccard(spark):
     assert sorted(r.doc_id for r in out) == [i for i, _ in kept]
 
 
+def test_near_stage_with_null_and_repeated_ids(spark):
+    """Each text keeps its own candidate group, whatever ids it shares: one of each near pair goes."""
+    rng = random.Random(29)
+    rows, pair = [], {}
+    for k in range(60):
+        w = prose(rng, 120).split()
+        for t in (" ".join(w), " ".join(w[:60] + ["changed"] + w[61:])):
+            pair[t] = k
+            rows.append((None if k % 3 else 7, t))
+    df = frame(spark, rows)
+    groups = simhash.candidate_groups(df, "text", "doc_id", 5, 7, 18, simhash.AGREE, simhash.PIVOTS)
+    assert groups.count() == len(rows)
+    slim = df.join(groups, simhash.F.col("doc_id").eqNullSafe(simhash.F.col("m_id")) & (simhash.F.xxhash64(simhash.F.col("text").cast("binary")) == simhash.F.col("m_hash")))
+    assert slim.count() == len(rows)
+    out = [r.text for r in simhash.drop_near_duplicates(df).collect()]
+    assert sorted(pair[t] for t in out) == list(range(60))
+
+
 def test_drop_near_duplicates(spark, monkeypatch):
     rng = random.Random(5)
     base = [prose(rng, 150) for _ in range(12)]
