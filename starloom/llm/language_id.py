@@ -6,8 +6,10 @@ that occur in a language's text; the language that needs the fewest phrases per
 character wins.
 
 Tasks parse many documents side by side: one table holds the automata of all
-languages, with the place to go on from already filled in where a phrase ends,
-so each character is one table lookup for all lanes and languages at once.
+languages, the few transitions of each state laid between those of others, so
+its size follows the learned text and not the number of distinct characters.
+Each character is one lookup there, and one in the start row for where a phrase
+ends, for all lanes and languages at once.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ SAMPLE_DOCS = 200
 SAMPLE_DOC_CHARS = 1000
 SAMPLE_CHARS = 40_000
 
-# Distinct characters that the automata tell apart; all others are one class.
-ALPHABET = 60
+# Places that a state with several transitions tries before the search moves on.
+PLACES = 64
 
 # Characters parsed together and lanes they are dealt to.
 BATCH_CHARS = 16 << 20
@@ -67,47 +69,97 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
     return go
 
 
+def lay_out(go: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, state, target): transition ``c`` of state ``s`` stands at ``first[s] + c``, where ``state`` is ``s``.
+
+    No two states have the same first place, so it can name the state.  The
+    start state has a full row at 0, with -1 as target of what it never had.
+    """
+    edges = sum(map(len, go))
+    room = 2 * (width + edges + len(go)) + PLACES
+    first, state, target = np.zeros(len(go), np.int64), np.full(room, -1, np.int64), np.full(room, -1, np.int64)
+    free, named = np.ones(room, bool), np.zeros(room, bool)
+
+    def put(s: int, at: int) -> None:
+        first[s], named[at] = at, True
+        for c, to in go[s].items():
+            free[at + c], state[at + c], target[at + c] = False, s, to
+
+    put(0, 0)
+    free[:width], state[:width] = False, 0
+    many = sorted((s for s in range(1, len(go)) if len(go[s]) > 1), key=lambda s: (-len(go[s]), s))
+    low = width
+    for s in many:
+        codes = np.array(sorted(go[s]), np.int64)
+        while True:
+            if low + 2 * width + 2 * PLACES > len(free):
+                more = len(free)
+                free, named = np.concatenate([free, np.ones(more, bool)]), np.concatenate([named, np.zeros(more, bool)])
+                state, target = (np.concatenate([x, np.full(more, -1, np.int64)]) for x in (state, target))
+            at = np.arange(low, low + PLACES)
+            ok = ~named[at] & free[at[:, None] + codes[None, :]].all(axis=1)
+            if ok.any():
+                put(s, int(at[ok.argmax()]))
+                break
+            low += PLACES
+    # one transition fits wherever a place is free; states without any only need a name
+    single = [s for s in range(1, len(go)) if len(go[s]) == 1]
+    none = [s for s in range(1, len(go)) if not go[s]]
+    more = 2 * width + 2 * len(single) + len(none)
+    free, named = np.concatenate([free, np.ones(more, bool)]), np.concatenate([named, np.zeros(more, bool)])
+    state, target = (np.concatenate([x, np.full(more, -1, np.int64)]) for x in (state, target))
+    places = iter(np.flatnonzero(free[width:]) + width)
+    for s in single:
+        c = next(iter(go[s]))
+        put(s, next(int(p) - c for p in places if not named[p - c]))
+    for s, at in zip(none, np.flatnonzero(~named)):
+        put(s, int(at))
+    size = int(max(first.max() + width, np.flatnonzero(~free).max() + 1))
+    return first, state[:size], target[:size]
+
+
+def fold(ch: str) -> str:
+    """Lower case of a character where that is one character."""
+    low = ch.lower()
+    return low if len(low) == 1 else ch
+
+
 class Model:
     """Automata of all languages in one table.
 
-    ``table[state + code]`` is four times the next state (as an offset into the
-    table) plus the phrases that this character closes: one for the phrase
-    before it if it cannot go on, one for the character itself if the language
-    never had it.
+    A state is a place in the table; the entry for a character is at state +
+    code and holds if ``owner`` there is the state.  ``table`` is four times the
+    next state plus the phrases that this character closes: one in the start
+    row if the language never had it.  Where the state has no entry the phrase
+    before ends, which is one more than the start row says.
     """
 
     def __init__(self, texts: dict[str, str]):
         seen: dict[str, int] = {}
         for t in texts.values():
-            for ch in t.lower():
+            for ch in t:
+                ch = fold(ch)
                 seen[ch] = seen.get(ch, 0) + 1
-        letters = sorted(seen, key=lambda ch: (-seen[ch], ch))[:ALPHABET]
-        # code 0: any other character
+        letters = sorted(seen, key=lambda ch: (-seen[ch], ch))
+        # code 0: characters that no language has
         number = {ch: i + 1 for i, ch in enumerate(letters)}
-        self.width = len(letters) + 1
+        width = len(letters) + 1
         self.languages = sorted(texts)
-        self.code_of = np.zeros(0x110000, np.uint8)
-        for i in range(0x110000):
-            low = chr(i).lower() if i < 0x3000 else ""
-            if low in number:
-                self.code_of[i] = number[low]
-        self.is_letter = np.array([chr(i).isalpha() for i in range(0x110000)])
-        parts, base, self.starts = [], 0, []
+        every = [chr(i) for i in range(0x110000)]
+        self.code_of = np.array([number.get(fold(ch), 0) for ch in every], np.min_scalar_type(width))
+        self.is_letter = np.array([ch.isalpha() for ch in every])
+        owners, tables, base, self.starts = [], [], 0, []
         for name in self.languages:
-            go = automaton([number.get(ch, 0) for ch in texts[name].lower()])
-            full = np.full((len(go), self.width), -1, np.int64)
-            for s, out in enumerate(go):
-                if out:
-                    full[s, list(out)] = list(out.values())
-            root = full[0]
-            stranger = (root < 0).astype(np.int64)
-            nxt = np.where(full < 0, np.where(root < 0, 0, root)[None, :], full)
-            closed = np.where(full < 0, 1 + stranger[None, :], 0)
-            closed[0] = stranger  # nothing is open at the start
-            parts.append((((base + nxt) * self.width) * 4 + closed).astype(np.int32).ravel())
-            self.starts.append(base * self.width)
-            base += len(go)
-        self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            go = automaton([number[fold(ch)] for ch in texts[name]])
+            first, state, target = lay_out(go, width)
+            full = state >= 0
+            closed = full & (target < 0)
+            owners.append(np.where(full, base + first[state], -1).astype(np.int32))
+            tables.append(((base + np.where(closed, 0, first[target])) * 4 + closed).astype(np.int32))
+            self.starts.append(base)
+            base += len(state)
+        self.owner = np.concatenate(owners) if owners else np.zeros(0, np.int32)
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
 
 def parse(model: Model, codes: list[np.ndarray]) -> np.ndarray:
@@ -141,7 +193,7 @@ def parse(model: Model, codes: list[np.ndarray]) -> np.ndarray:
     state = np.repeat(starts, len(lanes), axis=1)
     count = np.zeros((k, len(lanes)), np.int32)
     running = np.full(len(lanes), -1, np.int64)
-    table, nxt = model.table, 0
+    table, home, nxt = model.table, model.owner, 0
     alive = np.searchsorted(-total, -np.arange(int(total[0])), side="left")
     for t in range(int(total[0])):
         m = alive[t]
@@ -153,7 +205,9 @@ def parse(model: Model, codes: list[np.ndarray]) -> np.ndarray:
             count[:, lane] = 0
             state[:, lane] = starts[:, 0]
             nxt += 1
-        v = table.take(state[:, :m] + joined[begin[:m] + t])
+        c = joined[begin[:m] + t]
+        at = state[:, :m] + c
+        v = np.where(home.take(at) == state[:, :m], table.take(at), table.take(starts + c) + 1)
         count[:, :m] += v & 3
         state[:, :m] = v >> 2
     # a phrase may still be open at the end

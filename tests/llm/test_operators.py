@@ -312,6 +312,35 @@ def test_cross_parsing_counts_longest_phrases():
     assert language_id.parse(model, codes).tolist() == want
 
 
+def test_languages_of_all_scripts_are_parsed_by_their_own_letters():
+    """Many Latin letters beside small scripts: each character counts, above 0x3000 too."""
+    rng = random.Random(31)
+    letters = {
+        "la": [chr(c) for c in range(0xE0, 0x17F)], "ru": list("абвгдежзийклмнопрстуфхцчшщъыьэюя"), "uk": list("абвгґдеєжзиіїйклмнопрстуфхцчшщьюя"),
+        "ja": [chr(c) for c in range(0x3041, 0x3097)] + [chr(c) for c in range(0x4E00, 0x4F00, 2)], "zh": [chr(c) for c in range(0x4E00, 0x5000)],
+        "ko": [chr(c) for c in range(0xAC00, 0xAD00)], "go": [chr(c) for c in range(0x10330, 0x1034A)],
+    }
+    texts = {k: " ".join("".join(rng.choices(v, k=rng.randint(1, 6))) for _ in range(5000 if k == "la" else 120)) for k, v in letters.items()}
+    model = language_id.Model(texts)
+    docs = [(k, t[i : i + 60] + "ξ" + t[i + 40 : i + 45]) for k, t in texts.items() for i in (0, 100, 301)]
+    codes = [model.code_of[np.frombuffer(d.encode("utf-32-le"), np.uint32)] for _, d in docs]
+    source = {k: "".join(map(language_id.fold, t)) for k, t in texts.items()}
+
+    def phrases(text, learned):
+        text, n, i = "".join(map(language_id.fold, text)), 0, 0
+        while i < len(text):
+            k = 1
+            while i + k < len(text) and text[i : i + k + 1] in learned:
+                k += 1
+            n, i = n + 1, i + k
+        return n
+
+    got = language_id.parse(model, codes)
+    assert got.tolist() == [[phrases(d, source[k]) for k in model.languages] for _, d in docs]
+    assert [model.languages[i] for i in got.argmin(axis=1)] == [k for k, _ in docs]
+    assert len(np.unique(model.code_of[[ord(c) for c in source["ja"]]])) == len(set(source["ja"]))
+
+
 def test_licenses(spark, rows):
     extra = [
         (900, "The GNU General-Public License, v3; GNU General Public License"), (901, "licensed under the Apache Licence"),
