@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.centroids import CLUSTERS, DIMENSIONS, ROUNDS, cluster_vectors, with_centroid_sha
 from starloom.llm.common import UPPER, table
 from starloom.llm.decontam import decontaminate
 from starloom.llm.exact_dedup import exact_duplicates
+from starloom.llm.hard_negatives import hard_negatives
 from starloom.llm.language_id import identify
 from starloom.llm.license_scan import scan_licenses
 from starloom.llm.packing import pack
+from starloom.llm.quality_rules import score_quality
 from starloom.llm.sharding import consistent_shards
 from starloom.llm.simhash import near_duplicates
 from starloom.llm.substrings import remove_repeats
@@ -121,3 +124,66 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query(
+    "op11_hard_negatives",
+    f"""
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+      CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+      CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def _rounds_sql() -> str:
+    """A pair of tables per round: vectors with the nearest centroid, then the centroids that follow."""
+    distance = f"list_sum(list_transform(range(1, {DIMENSIONS + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    out = []
+    for r in range(ROUNDS + 1):
+        out.append(
+            f"a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, min({{'d': CAST({distance} AS BIGINT), 'k': k}}) AS m FROM v, c{r} GROUP BY row, vec_id)"
+        )
+        if r < ROUNDS:
+            sums = f"(SELECT m.k AS k, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, {DIMENSIONS + 1}) t(i) GROUP BY m.k, i)"
+            means = f"(SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM {sums} GROUP BY k)"
+            out.append(f"c{r + 1} AS MATERIALIZED (SELECT o.k, coalesce(x.c, o.c) AS c FROM c{r} o LEFT JOIN {means} x ON o.k = x.k)")
+    return ", ".join(out)
+
+
+@query(
+    "op12_centroid_clusters",
+    f"""
+    WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE len(embedding) = {DIMENSIONS} AND {_FINITE}),
+    c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS k, v AS c FROM v QUALIFY k < {CLUSTERS}),
+    {_rounds_sql()},
+    t AS (SELECT m.k AS k, CAST(sum(m.d) AS BIGINT) AS i FROM a{ROUNDS} GROUP BY m.k)
+    SELECT vec_id, m.k AS cluster, m.d AS distance, t.i AS cluster_inertia, CAST((SELECT sum(i) FROM t) AS BIGINT) AS inertia,
+      sha256(array_to_string(c.c, ',')) AS centroid_sha256
+    FROM a{ROUNDS} JOIN t ON t.k = m.k JOIN c{ROUNDS} c ON c.k = m.k
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_centroid_sha(cluster_vectors(table(spark, sf_dir, "embeddings")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op13_quality_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
