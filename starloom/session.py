@@ -66,18 +66,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete the tables that this process wrote to the shared folder, at the end of a job; returns their number.
+def scratch_mark() -> int:
+    """A mark for ``clear_scratch``: tables written later lie behind it."""
+    return len(_SCRATCH)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep_last: int = 0) -> int:
+    """Delete the tables that this process wrote to the shared folder behind the mark ``since``, but for the last ``keep_last``; returns their number.
 
     Results are lazy and read these tables, so call it once they are stored or
     collected, never before.
     """
     hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    gone = 0
-    while _SCRATCH:
-        path = hadoop(_SCRATCH.pop())
-        gone += bool(path.getFileSystem(conf).delete(path, True))
-    return gone
+    end = max(since, len(_SCRATCH) - keep_last)
+    gone, _SCRATCH[since:end] = _SCRATCH[since:end], []
+    return sum(bool((path := hadoop(p)).getFileSystem(conf).delete(path, True)) for p in gone)
 
 
 def materialize(df: DataFrame) -> DataFrame:
