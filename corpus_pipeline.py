@@ -16,7 +16,7 @@ from starloom.llm.exact_dedup import drop_exact_duplicates
 from starloom.llm.language_id import identify
 from starloom.llm.packing import pack
 from starloom.llm.simhash import drop_near_duplicates
-from starloom.session import materialize
+from starloom.session import clear_scratch, materialize, scratch_mark
 
 # The stages are iterative or use numpy, so no SQL statement gives these rows; see tests/llm.
 ORACLE_SQL = None
@@ -33,8 +33,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    return drop_near_duplicates(docs)
+    """One document of each group whose SimHash fingerprints (four words, at most four bits apart) connect it, the one with the smallest id."""
+    return drop_near_duplicates(docs, shingle=4, max_bits=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +57,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed documents of ``sf_dir``; each stage's result is a table in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """The packed documents of ``sf_dir``; each stage's result is a table in the shared folder, what it wrote on the way goes when it ends."""
+    docs, mark = table(spark, sf_dir, "documents"), scratch_mark()
     for _, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir))
+        clear_scratch(spark, mark, keep_last=1)
     return docs

@@ -18,15 +18,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from starloom.llm.common import arrow_map, schema_of
+from starloom.llm.common import arrow_map, bitmap_rows, slots
 from starloom.llm.components import components
+from starloom.llm.exact_dedup import FILTER_BITS, HASHES, flag_possible
 from starloom.session import materialize
 
 BITS = 64
@@ -76,15 +75,20 @@ def majority(h: np.ndarray) -> int:
     return int(sum(1 << b for b in np.flatnonzero(2 * counts > n).tolist()))
 
 
+def hash_of(text: Column) -> Column:
+    """A 64-bit hash of a text; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, distinct: bool = False) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint as a signed 64-bit number; 0 where a text is null or has no words."""
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+    """Rows (doc_id, text_hash, fp): a hash of the text and the fingerprint, as signed 64-bit numbers; fp is 0 where a text is null or has no words."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), hash_of(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").cast("binary").alias("raw"))
 
     def work(b: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.array([fingerprint(r.as_py() or b"", shingle, distinct) for r in b.column("raw")], np.uint64)
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("fp", "long")])
+    return arrow_map(rows, work, [("doc_id", rows.schema["doc_id"].dataType), ("text_hash", "long"), ("fp", "long")])
 
 
 def cut(bits: list[int], n: int) -> list[list[int]]:
@@ -104,7 +108,7 @@ def signed(mask: int) -> int:
 
 def keyed(points: DataFrame, keys: list[str], masks: list[int]) -> DataFrame:
     """Each point once per mask, with the mask's number and the masked fingerprint added to the bucket key."""
-    rest = ["node", "fp"] + [c for c in ("fp2",) if c in points.columns]
+    rest = ["node", "fp"]
     choice = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for i, m in enumerate(masks)])).alias("c")
     return points.select(*rest, *keys, choice).select(*rest, F.xxhash64(*keys, "c.i", "c.k").alias("bucket"))
 
@@ -119,72 +123,77 @@ def reference_points(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"pivot-{i}".encode(), SEED) for i in range(n)], np.uint64)
 
 
-def close_pairs(bucket: np.ndarray, fp: np.ndarray, pivots: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of one bucket each with at most ``max_bits`` differing bits; rows come sorted by bucket.
+def close_forest(bucket: np.ndarray, fp: np.ndarray, pivots: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within buckets with at most ``max_bits`` differing bits, just enough to connect all close ones.
 
     Rows are ordered by bucket and distance to the first pivot.  Shifts of this
     order give the pairs; a row drops out once its partner lies in another
     bucket or too far in the first coordinate, since later ones lie further.
+    Pairs that earlier links connect are not looked at again, and a shift holds
+    one pair per row at most, so memory follows the rows and not the pairs.
     """
     table = pivot_table(fp, pivots)
     order = np.lexsort((table[:, 0], bucket))
     b, f, t = bucket[order], fp[order], table[order]
-    live, left, right = np.arange(len(f)), [], []
+    parent, live, left, right = np.arange(len(f)), np.arange(len(f)), [], []
     step = 1
     while len(live):
         live = live[live + step < len(f)]
         other = live + step
         near = (b[live] == b[other]) & (t[other, 0] - t[live, 0] <= max_bits)
-        live, other = live[near], other[near]
+        live = live[near]
+        x, y = live, live + step
+        apart = parent[x] != parent[y]
+        x, y = x[apart], y[apart]
         # largest coordinate difference first, then the exact count
-        x, y = live, other
         for lo in range(1, t.shape[1], 5):
             ok = (np.abs(t[x, lo : lo + 5] - t[y, lo : lo + 5]) <= max_bits).all(axis=1)
             x, y = x[ok], y[ok]
         ok = np.bitwise_count(f[x] ^ f[y]) <= max_bits
-        left.append(order[x[ok]])
-        right.append(order[y[ok]])
+        x, y = x[ok], y[ok]
+        if len(x):
+            new = join(parent, x, y)
+            left.append(order[x[new]])
+            right.append(order[y[new]])
         step += 1
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def forest(u: np.ndarray, v: np.ndarray, n: int) -> list[int]:
-    """Numbers of the links that connect something new."""
-    parent = list(range(n))
+def join(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Numbers of the pairs that connect something new; ``parent`` names the root of every row, before and after."""
+    above: dict[int, int] = {}
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    def root(k: int) -> int:
+        while k in above:
+            if above[k] in above:
+                above[k] = above[above[k]]
+            k = above[k]
+        return k
 
-    kept = []
-    for i, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
+    new = []
+    for i, (a, b) in enumerate(zip(parent[x].tolist(), parent[y].tolist())):
         a, b = root(a), root(b)
         if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append(i)
-    return kept
+            above[max(a, b)] = min(a, b)
+            new.append(i)
+    moved = np.arange(len(parent))
+    moved[list(above)] = [root(k) for k in above]
+    parent[:] = moved[parent]
+    return new
 
 
-def bucket_links(rows: DataFrame, max_bits: int, pivots: int, max_bits2: int = BITS) -> DataFrame:
-    """Links (u, v) found inside the buckets of (node, fp, bucket); a column fp2 has to be close too, by ``max_bits2``.
+def bucket_links(rows: DataFrame, max_bits: int, pivots: int) -> DataFrame:
+    """Links (u, v) found inside the buckets of (node, fp, bucket).
 
     Rows are dealt by bucket and sorted, so a task sees each bucket as one run;
     the last run of a batch waits for the next batch.
     """
     refs = reference_points(pivots)
+    columns = ["bucket", "node", "fp"]
 
-    columns = ["bucket", "node", "fp"] + [c for c in ("fp2",) if c in rows.columns]
-
-    def link(bucket, node, fp, fp2=None):
-        i, j = close_pairs(bucket, fp.view(np.uint64), refs, max_bits)
-        if fp2 is not None:
-            ok = np.bitwise_count(fp2[i].view(np.uint64) ^ fp2[j].view(np.uint64)) <= max_bits2
-            i, j = i[ok], j[ok]
-        names, codes = np.unique(node, return_inverse=True)
-        keep = forest(codes[i], codes[j], len(names))
-        return pa.RecordBatch.from_arrays([pa.array(node[i[keep]]), pa.array(node[j[keep]])], ["u", "v"])
+    def link(bucket, node, fp):
+        i, j = close_forest(bucket, fp.view(np.uint64), refs, max_bits)
+        return pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["u", "v"])
 
     def task(batches):
         held: list[tuple] = []
@@ -206,36 +215,50 @@ def bucket_links(rows: DataFrame, max_bits: int, pivots: int, max_bits2: int = B
     return dealt.mapInArrow(task, T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())]))
 
 
-def fingerprint_links(
-    points: DataFrame, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS, max_bits2: int = BITS
-) -> DataFrame:
-    """Links (u, v) between points (node, fp) with distinct fingerprints, enough of them to connect all close ones.
+def split_buckets(rows: DataFrame, sizes: DataFrame, block_rows: int) -> DataFrame:
+    """Deal the points of a large bucket to parts of about ``block_rows`` and put every pair of parts into a bucket of its own.
+
+    Any two points still meet; a bucket holds two parts at most.
+    """
+    sizes = sizes.select(F.col("bucket").alias("s_bucket"), F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
+    dealt = rows.join(sizes, F.col("bucket") == F.col("s_bucket")).withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+    dealt = dealt.select("node", "fp", "bucket", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return dealt.select("node", "fp", F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).alias("bucket"))
+
 
-    With a column fp2, a second fingerprint of each point, points are close if
-    both agree, fp up to ``max_bits`` and fp2 up to ``max_bits2``.
+def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links (u, v) between points (node, fp) with distinct fingerprints, enough of them to connect all close ones.
 
     Buckets with more than ``bucket_rows`` points (as near copies of one text
-    make) are dealt anew by further blocks of all bits, twice, and then compared
-    whatever their size; a bucket can then only hold points that agree on most bits.
+    make) are dealt anew by further blocks of all bits, twice.  What is large even
+    then holds points that agree on most bits; it is compared part against part.
     """
     masks = block_masks(list(range(BITS)), max_bits, agree)
     rows, links = keyed(points, [], masks), None
     for level in range(3):
-        if level == 2:
-            found = bucket_links(rows, max_bits, pivots, max_bits2)
-            return links.union(found)
         rows = materialize(rows)
-        large = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("bucket"))
+        large = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows))
         if not large.limit(1).count():
-            found = bucket_links(rows, max_bits, pivots, max_bits2)
+            found = bucket_links(rows, max_bits, pivots)
             return found if links is None else links.union(found)
-        found = bucket_links(rows.join(large, "bucket", "left_anti"), max_bits, pivots, max_bits2)
+        found = bucket_links(rows.join(large, "bucket", "left_anti"), max_bits, pivots)
         links = found if links is None else links.union(found)
+        if level == 2:
+            return links.union(bucket_links(split_buckets(rows, large, bucket_rows), max_bits, pivots))
         # interleaved bit order, so that the new blocks cut across the old ones
         mixed = [b for k in range(level + 2) for b in range(k, BITS, level + 2)]
         rows = keyed(rows.join(large, "bucket", "left_semi"), ["bucket"], block_masks(mixed, max_bits, 1 + level))
 
 
+def fingerprint_groups(prints: DataFrame, max_bits: int, agree: int, pivots: int) -> DataFrame:
+    """Rows (g_fp, component, n, first_id): per fingerprint of (doc_id, fp) its component, its rows and their smallest id."""
+    # copies meet here first: one point per fingerprint, whatever their number
+    points = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    points = materialize(points.select("fp", "first_id", "n", F.col("fp").alias("node")))
+    found = components(fingerprint_links(points.select("node", "fp"), max_bits, agree, pivots))
+    return points.join(found, "node", "left").select(F.col("fp").alias("g_fp"), F.coalesce("component", "fp").alias("component"), "n", "first_id")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS,
     distinct: bool = False,
@@ -252,186 +275,41 @@ def near_duplicates(
     other id.  Ids are integers.  An empty table gives an empty table.
     """
     prints = materialize(fingerprints(docs, text, doc_id, shingle, distinct))
-    # copies meet here first: one point per fingerprint, whatever their number
-    points = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).select("fp", "first_id", F.col("fp").alias("node")))
-    found = components(fingerprint_links(points.select("node", "fp"), max_bits, agree, pivots))
-    groups = points.join(found, "node", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    groups = fingerprint_groups(prints, max_bits, agree, pivots)
     least = groups.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    groups = groups.join(least, "component").select(F.col("fp").alias("g_fp"), "component_id")
+    groups = groups.join(least, "component").select("g_fp", "component_id")
     out = prints.join(groups, F.col("fp") == F.col("g_fp"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity of two sorted arrays of distinct hashes; two empty ones are equal."""
-    if not len(a) and not len(b):
-        return 1.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
-def first_kept(sets: list[np.ndarray], kept: list[np.ndarray], least: float) -> list[bool]:
-    """Which sets stay, in order: those less than ``least`` similar to all of ``kept`` and to the earlier ones that stay."""
-    stays = []
-    kept = list(kept)
-    for s in sets:
-        # similar sets have similar sizes
-        near = any(least * len(k) <= len(s) and least * len(s) <= len(k) and jaccard(s, k) >= least for k in kept)
-        stays.append(not near)
-        if not near:
-            kept.append(s)
-    return stays
-
-
-# Members of a candidate group that a task compares with each other at a time,
-# and mean number of later members that it holds against those that stay.
-GROUP_BLOCK = 400
-GROUP_REST = 400
-
-
-def redundant(members: DataFrame, least: float, block: int | None = None, rest: int | None = None) -> DataFrame:
-    """Rows (doc_id, text_hash) that go, from (part, doc_id, text_hash, hashes).
-
-    In a candidate group (``part``) documents are visited by id; one goes if it
-    is at least ``least`` similar to one that stays.  Each round settles the first
-    ``block`` documents of every group among themselves and then holds all later
-    ones, dealt to parts of bounded size, against those that stay.  So no group
-    is ever gathered, and the number of rounds follows the documents that stay,
-    not the copies.
-    """
-    block, rest = block or GROUP_BLOCK, rest or GROUP_REST
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text_hash")]
-    out, schema = None, schema_of([(f.name, f.dataType) for f in members.schema.fields] + [("stays", "boolean")])
-
-    def settle(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, [("rank", "ascending")])).drop_columns(["rank"])
-        sets = [np.asarray(x.values) for x in group["hashes"]]
-        return group.append_column("stays", pa.array(first_kept(sets, [], least), pa.bool_()))
-
-    def against(group: pa.Table, kept: pa.Table) -> pa.Table:
-        stay = [np.asarray(x.values) for x in kept["hashes"]]
-        result = [first_kept([np.asarray(x.values)], stay, least)[0] for x in group["hashes"]]
-        return group.drop_columns(["deal"]).append_column("stays", pa.array(result, pa.bool_()))
-
-    while True:
-        heads = members.select("part", "doc_id", "text_hash").withColumn("rank", F.row_number().over(W.partitionBy("part").orderBy(*order))).where(F.col("rank") <= block)
-        same = F.col("part").eqNullSafe(F.col("h_part")) & F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash"))
-        heads = materialize(heads.select(F.col("part").alias("h_part"), F.col("doc_id").alias("h_id"), F.col("text_hash").alias("h_hash"), "rank"))
-        settled = materialize(members.join(heads, same).drop("h_part", "h_id", "h_hash").groupBy("part").applyInArrow(settle, schema))
-        gone = settled.where(~F.col("stays")).select("doc_id", "text_hash")
-        out = gone if out is None else out.union(gone)
-        later = members.join(heads, same, "left_anti")
-        # every part of a group's later members meets all that stay of its block
-        size = later.groupBy("part").agg((F.floor(F.count(F.lit(1)) / rest) + 1).cast("int").alias("parts"))
-        size = materialize(size.select(F.col("part").alias("s_part"), "parts"))
-        if not size.limit(1).count():
-            return out
-        dealt = later.join(size, F.col("part") == F.col("s_part")).withColumn("deal", F.pmod(F.col("text_hash"), F.col("parts")).cast("int"))
-        stays = settled.where("stays").join(size, F.col("part") == F.col("s_part"))
-        stays = stays.select("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("deal"), "hashes")
-        both = dealt.select(*[f.name for f in members.schema.fields], "deal").groupBy("part", "deal").cogroup(stays.groupBy("part", "deal"))
-        checked = materialize(both.applyInArrow(against, schema))
-        out = out.union(checked.where(~F.col("stays")).select("doc_id", "text_hash"))
-        members = checked.where("stays").drop("stays")
-        if not members.limit(1).count():
-            return out
-
-
-# MinHash route of the candidate groups: bands, and minima that a band joins.  Two
-# texts of Jaccard similarity s share a band with probability 1 - (1 - s ** 8) ** 64:
-# all but 8 in a million at 0.8.
-BANDS = 64
-BAND_ROWS = 8
-
-# Shingles that meet all multipliers at a time.
-BAND_STEP = 256
-
-
-def multipliers(n: int) -> np.ndarray:
-    """Fixed pseudo-random odd numbers."""
-    return np.array([xxhash.xxh32_intdigest(f"minhash-{i}".encode(), SEED) | 1 for i in range(n)], np.uint32)
-
-
-def band_keys(h: np.ndarray, mult: np.ndarray) -> np.ndarray:
-    """One key per band from distinct shingle hashes; a minimum per multiplier, ``BAND_ROWS`` minima per key."""
-    x = (h >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(mult), 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(x), BAND_STEP):
-        np.minimum(least, np.multiply.outer(mult, x[i : i + BAND_STEP]).min(axis=1), out=least)
-    raw, size = least.astype("<u4").tobytes(), 4 * BAND_ROWS
-    return np.array([xxhash.xxh64_intdigest(raw[k : k + size], k) for k in range(0, len(raw), size)], np.uint64)
-
-
-def band_links(keys: DataFrame) -> DataFrame:
-    """Links (u, v) that connect all nodes of a key, from (node, key): each to the smallest one, so no key is gathered."""
-    groups = keys.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v < most")
-    groups = materialize(groups.select(F.col("key").alias("g_key"), "v"))
-    return keys.join(groups, F.col("key") == F.col("g_key")).where("node > v").select(F.col("node").alias("u"), "v")
-
-
-def candidate_groups(docs: DataFrame, text: str, doc_id: str, words: int, max_bits: int, max_bits2: int, agree: int, pivots: int) -> DataFrame:
-    """Rows (m_id, m_hash, part): the documents that share a candidate group with others, by id and text hash, null ids included."""
-    raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
-
-    def work(b: pa.RecordBatch) -> pa.RecordBatch:
-        fp, fp2, keys = [], [], []
-        for r in b.column("raw"):
-            raw = r.as_py()
-            h = np.unique(shingle_hashes(raw, words))
-            fp.append(fingerprint(raw, 1, True))
-            fp2.append(majority(h))
-            keys.append(band_keys(h, mult))
-        fp, fp2 = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, fp2))
-        at = pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32())
-        keys = pa.ListArray.from_arrays(at, pa.array(np.concatenate(keys).view(np.int64)))
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), fp, fp2, keys], ["doc_id", "text_hash", "fp", "fp2", "keys"])
-
-    mult = multipliers(BANDS * BAND_ROWS)
-    fields = [("doc_id", rows.schema["doc_id"].dataType), ("text_hash", "long"), ("fp", "long"), ("fp2", "long"), ("keys", "array<long>")]
-    prints = arrow_map(rows, work, fields)
-    prints = materialize(prints.withColumn("node", F.xxhash64("fp", "fp2")))
-    points = materialize(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count(F.lit(1)).alias("n")))
-    links = fingerprint_links(points, max_bits, agree, pivots, max_bits2=max_bits2)
-    links = links.union(band_links(prints.select("node", F.explode("keys").alias("key"))))
-    linked = components(links).select(F.col("node").alias("l_node"), "component")
-    parts = points.join(linked, F.col("node") == F.col("l_node"), "left").where("n > 1 or component is not null")
-    parts = parts.select(F.col("node").alias("p_node"), F.coalesce("component", "node").alias("part"))
-    # equal texts have equal fingerprints, so an id and a text have one part
-    found = prints.join(parts, F.col("node") == F.col("p_node"))
-    return materialize(found.select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), "part").distinct())
-
-
 def drop_near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, least: float = 0.8, max_bits: int = 7, max_bits2: int = 18,
-    agree: int = AGREE, pivots: int = PIVOTS,
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, max_bits: int = MAX_BITS, agree: int = AGREE, pivots: int = PIVOTS,
+    bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """The rows of ``docs`` without near duplicates, with their columns.
-
-    Two routes give candidate groups.  Texts are linked if the SimHash
-    fingerprints of their distinct words differ in up to ``max_bits`` and those of
-    their distinct ``words``-word shingles in up to ``max_bits2`` bits, or if they
-    share a MinHash band of these shingles; the first finds scattered edits, the
-    second any pair of high similarity.  In each group documents are
-    visited by id, null ids first, and one goes if it shares at least ``least`` of its
-    ``words``-word shingles (Jaccard) with one that stays.  Equal texts count as
-    similar, of rows with equal id and text both stay.  Null and empty texts have
-    no shingles and are equal to each other.
+    """One document of each component of ``near_duplicates``, with the columns of ``docs``.
+
+    The one with the smallest id stays, null ids after all others; of texts that
+    share that id the one with the smallest 64-bit hash, of equal rows exactly one.
+    Documents without a near copy pass straight through: a Bloom filter of fixed
+    size holds the members of larger components, and only the rows that it cannot
+    clear are shuffled.  An empty table gives an empty table.
     """
-    found = candidate_groups(docs, text, doc_id, words, max_bits, max_bits2, agree, pivots)
+    prints = materialize(fingerprints(docs, text, doc_id, shingle))
+    groups = materialize(fingerprint_groups(prints, max_bits, agree, pivots).select("g_fp", "component", "n"))
+    large = groups.groupBy("component").agg(F.sum("n").alias("rows")).where(F.col("rows") > 1).select(F.col("component").alias("l_component"))
+    groups = materialize(groups.join(large, F.col("component") == F.col("l_component")).select("g_fp", "component"))
+    members = materialize(prints.join(groups, F.col("fp") == F.col("g_fp")).select("component", F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).distinct())
+    first = F.min(F.struct(F.col("m_id").isNull(), "m_id", "m_hash")).alias("first")
+    winners = members.groupBy("component").agg(first).select(F.col("component").alias("w_component"), F.col("first.m_id").alias("w_id"), F.col("first.m_hash").alias("w_hash"))
+    wins = F.col("m_id").eqNullSafe(F.col("w_id")) & (F.col("m_hash") == F.col("w_hash"))
+    members = materialize(members.join(winners, F.col("component") == F.col("w_component")).select("m_id", "m_hash", wins.alias("wins")))
+    slot = F.explode(F.array(*slots(F.xxhash64("m_id", "m_hash"), bits, HASHES))).alias("slot")
+    filled = materialize(bitmap_rows(members.select(slot), "slot"))
     # the documents travel in one column, so that none of their names can clash
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    own_id, raw = F.col(f"row.`{doc_id}`"), F.coalesce(F.col(f"row.`{text}`"), F.lit("")).cast("binary")
-    slim = rows.select(own_id.alias("doc_id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
-    slim = slim.join(found, (F.col("text_hash") == F.col("m_hash")) & F.col("doc_id").eqNullSafe(F.col("m_id"))).select("part", "doc_id", "text_hash", "raw")
-
-    def hashed(b: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [np.unique(shingle_hashes(r.as_py(), words)).view(np.int64) for r in b.column("raw")]
-        at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-        values = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
-        return pa.RecordBatch.from_arrays([b.column("part"), b.column("doc_id"), b.column("text_hash"), values], ["part", "doc_id", "text_hash", "hashes"])
-
-    fields = [(n, slim.schema[n].dataType) for n in ("part", "doc_id", "text_hash")] + [("hashes", "array<long>")]
-    members = materialize(arrow_map(slim, hashed, fields).dropDuplicates(["doc_id", "text_hash"]))
-    gone = redundant(members, least).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    return rows.join(gone, own_id.eqNullSafe(F.col("gone_id")) & (F.xxhash64(raw) == F.col("gone_hash")), "left_anti").select("row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), hash_of(F.col(f"`{text}`")).alias("text_hash"))
+    rows = flag_possible(rows.withColumn("key", F.xxhash64("doc_id", "text_hash")), filled, "key", bits)
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash"))
+    held = rows.where("maybe").join(members, same, "left")
+    clear = rows.where(~F.col("maybe")).select("row").unionByName(held.where("wins is null").select("row"))
+    stay = held.where("wins").groupBy("doc_id", "text_hash").agg(F.first("row").alias("row"))
+    return clear.unionByName(stay.select("row")).select("row.*")

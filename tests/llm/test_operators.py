@@ -116,69 +116,79 @@ def test_links_of_close_fingerprints(spark, bucket_rows):
     assert [found.get(i, i) for i in ids] == brute.linked(ids, prints, 4)
 
 
-def test_pivots_discard_only_distant_pairs():
+def test_forest_connects_all_close_pairs():
     rng = np.random.default_rng(1)
     fp = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
     fp[200:] = fp[:200] ^ (np.uint64(1) << rng.integers(0, 64, 200, dtype=np.uint64))
-    i, j = simhash.close_pairs(np.zeros(400, np.int64), fp, simhash.reference_points(16), 4)
-    near = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
-    assert near == {(a, b) for a in range(400) for b in range(a + 1, 400) if int(fp[a] ^ fp[b]).bit_count() <= 4}
-
-
-def test_near_stage_finds_all_pairs_of_high_jaccard(spark):
-    """Edits in one place of a text; the plain version compares all pairs by Jaccard only."""
-    rng = random.Random(23)
-    rows = []
-    for k in range(40):
-        w = prose(rng, rng.randint(80, 160)).split()
-        n = len(w)
-        block = prose(rng, n // 15).split()
-        edits = [w + prose(rng, n // 5).split(), w[: n - n // 7], w[: n // 3] + block + w[n // 3 + len(block) :]]
-        rows += [(4 * k + i, " ".join(t)) for i, t in enumerate([w, *edits])]
-    kept = []
-    for i, t in rows:
-        s = set(brute.shingles(t, 5))
-        if not any(len(s & o) >= 0.8 * len(s | o) for _, o in kept):
-            kept.append((i, s))
-    assert len(kept) < 60
-    out = simhash.drop_near_duplicates(frame(spark, rows)).collect()
-    assert sorted(r.doc_id for r in out) == [i for i, _ in kept]
-
-
-def test_near_stage_with_null_and_repeated_ids(spark):
-    """Each text keeps its own candidate group, whatever ids it shares: one of each near pair goes."""
-    rng = random.Random(29)
-    rows, pair = [], {}
-    for k in range(60):
-        w = prose(rng, 120).split()
-        for t in (" ".join(w), " ".join(w[:60] + ["changed"] + w[61:])):
-            pair[t] = k
-            rows.append((None if k % 3 else 7, t))
-    df = frame(spark, rows)
-    groups = simhash.candidate_groups(df, "text", "doc_id", 5, 7, 18, simhash.AGREE, simhash.PIVOTS)
-    assert groups.count() == len(rows)
-    slim = df.join(groups, simhash.F.col("doc_id").eqNullSafe(simhash.F.col("m_id")) & (simhash.F.xxhash64(simhash.F.col("text").cast("binary")) == simhash.F.col("m_hash")))
-    assert slim.count() == len(rows)
-    out = [r.text for r in simhash.drop_near_duplicates(df).collect()]
-    assert sorted(pair[t] for t in out) == list(range(60))
-
-
-def test_drop_near_duplicates(spark, monkeypatch):
+    fp[50:80] = fp[0] ^ (np.uint64(1) << np.arange(30, dtype=np.uint64))
+    bucket = np.repeat([0, 1], 200)
+    i, j = simhash.close_forest(bucket, fp, simhash.reference_points(16), 4)
+    assert all(int(fp[a] ^ fp[b]).bit_count() <= 4 and bucket[a] == bucket[b] for a, b in zip(i, j))
+    for k in (0, 200):
+        part = [int(x) for x in fp[k : k + 200]]
+        want = brute.linked(list(range(200)), part, 4)
+        least = list(range(200))
+        links = [(a - k, b - k) for a, b in zip(i.tolist(), j.tolist()) if k <= a < k + 200]
+        assert len(links) == 200 - len(set(want))
+        for a, b in links:
+            least = [min(least[a], least[b]) if g in (least[a], least[b]) else g for g in least]
+        assert least == want
+
+
+def test_many_close_fingerprints_take_little_memory():
+    """20 000 fingerprints within 4 bits of each other hold 2e8 close pairs; the forest has one link fewer than rows."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    fp = np.unique([sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(9000)]).astype(np.uint64)
+    fp = np.unique(np.concatenate([fp, *[fp ^ np.uint64(1 << k) for k in range(0, 64, 6)]]))[:20_000]
+    near = fp[np.bitwise_count(fp) <= 2]
+    tracemalloc.start()
+    i, j = simhash.close_forest(np.zeros(len(fp), np.int64), fp, simhash.reference_points(16), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(near) * (len(near) - 1) // 2 > 1_000_000 and len(i) == len(fp) - 1
+    assert peak < 100e6
+
+
+def test_large_buckets_are_split(spark):
+    df = spark.createDataFrame([(k, k, k % 2) for k in range(100)], "node long, fp long, bucket long")
+    sizes = df.groupBy("bucket").count().withColumnRenamed("count", "n")
+    groups = {}
+    for r in simhash.split_buckets(df, sizes, 10).collect():
+        groups.setdefault(r.bucket, []).append(r.node)
+    assert max(map(len, groups.values())) < 50
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    assert met == {(a, b) for a in range(100) for b in range(a + 2, 100, 2)}
+
+
+def one_per_component(rows):
+    """Of (id, text) rows the one with the smallest id of each SimHash component; null ids last."""
+    ids = list(range(len(rows)))
+    groups = brute.linked(ids, [brute.simhash(t, 4) for _, t in rows], 4)
+    best = {}
+    for g, (i, t) in zip(groups, rows):
+        best[g] = min(best.get(g, (i, t)), (i, t), key=lambda r: (r[0] is None, r[0] or 0))
+    return sorted(best.values(), key=str)
+
+
+def test_drop_near_duplicates(spark):
     rng = random.Random(5)
-    base = [prose(rng, 150) for _ in range(12)]
+    base = [prose(rng, 300) for _ in range(12)]
     rows = [(k, t) for k, t in enumerate(base)]
     for k, t in enumerate(base[:6]):
         w = t.split()
         w[70] = "changed"
         rows.append((100 + k, " ".join(w)))
-    # one large group: every copy has a word of its own
-    rows += [(200 + k, base[0] + f" tail{k}") for k in range(40)] + [(None, base[1]), (500, None), (501, ""), (3, base[3])]
-    monkeypatch.setattr(simhash, "GROUP_BLOCK", 4)
-    monkeypatch.setattr(simhash, "GROUP_REST", 3)
+    # one large group, repeated rows, an id that texts share, null ids
+    rows += [(200 + k, base[0] + f" tail{k}") for k in range(40)]
+    rows += [(None, base[1]), (500, None), (501, ""), (3, base[3]), (3, base[3]), (None, base[7] + " x"), (None, prose(rng, 90)), (0, prose(rng, 90))]
     df = frame(spark, rows)
-    out = simhash.drop_near_duplicates(df)
-    assert out.columns == df.columns
-    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted([0, *range(2, 12), 3, None, 500], key=str)
+    for bits in (1 << 27, 32768):
+        out = simhash.drop_near_duplicates(df, bits=bits)
+        assert out.columns == df.columns
+        assert got(out, "doc_id", "text") == one_per_component(rows)
+    assert len(one_per_component(rows)) < 22
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 

@@ -43,22 +43,12 @@ def survivors(rows, items):
         k = brute.fold(t)
         if k not in best or key(i) > key(best[k][0]):
             best[k] = (i, t)
-    rows = sorted(best.values(), key=lambda r: key(r[0]))
-    one = [brute.simhash(t, 1, True) for _, t in rows]
-    five = [brute.simhash(t, 5, True) for _, t in rows]
-    group = list(range(len(rows)))
-    for a in range(len(rows)):
-        for b in range(a):
-            if (one[a] ^ one[b]).bit_count() <= 7 and (five[a] ^ five[b]).bit_count() <= 18:
-                x, y = group[a], group[b]
-                group = [min(x, y) if g in (x, y) else g for g in group]
-    kept = []
-    for k, (i, t) in enumerate(rows):
-        s = set(brute.shingles(t, 5))
-        if not any(group[j] == group[k] and len(s & o) >= 0.8 * len(s | o) for j, o in kept):
-            kept.append((k, s))
+    # null ids last: the smallest id of a group stays
+    rows = sorted(best.values(), key=lambda r: (r[0] is None, r[0] or 0))
+    groups = brute.linked(list(range(len(rows))), [brute.simhash(t, 4) for _, t in rows], 4)
+    rows = [r for k, r in enumerate(rows) if groups[k] == k]
     wins = brute.windows(items)
-    return [rows[k] for k, _ in kept if not any(brute.hits(rows[k][1], wins)[1])]
+    return [r for r in rows if not any(brute.hits(r[1], wins)[1])]
 
 
 def test_pipeline_equals_plain_python(spark, folder):
@@ -88,7 +78,7 @@ def test_pipeline_on_empty_tables(spark, folder, tmp_path):
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_oracles(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     df = QUERIES[key](spark, SMALL)
     rel = con.sql(ORACLES[key])
@@ -98,8 +88,10 @@ def test_oracles(spark, key):
 
 def test_queries_return_one_row_per_document(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
-    assert len({k.split("_")[0] for k in QUERIES}) == 10
+    assert len({k.split("_")[0] for k in QUERIES}) == 13
     for key, q in QUERIES.items():
+        if key.startswith(("op11_", "op12_")):
+            continue
         df = q(spark, SMALL)
         if key.startswith("op8_"):
             assert df.count() == spark.read.parquet(f"{SMALL}/pages.parquet").count()
