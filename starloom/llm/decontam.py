@@ -1,10 +1,12 @@
 """Benchmark passages in training documents, by suffix arrays of the training text.
 
 Each task makes a suffix array over the words of its documents (a shard) and
-looks every benchmark suffix up in it by binary search; the range of equal
-prefixes gives the places, and the neighbours the longest verbatim match.  Only
-document suffixes that begin with two words that stand together in a benchmark
-item enter the array: no other suffix can match.  Nothing is shuffled.
+looks every benchmark suffix up in it by binary search; the range of suffixes
+that share a window of words with it gives the places.  A place and the item's
+place lie on a diagonal, and the windows that follow each other on it are one
+verbatim match, whose length is thus the true one.  Only document suffixes that
+begin with two words that stand together in a benchmark item enter the array: no
+other suffix can match.  Nothing is shuffled.
 
 The benchmark goes to the tasks in blocks of a bounded size, one pass over the
 documents per block.
@@ -27,6 +29,8 @@ from starloom.llm.license_scan import FOLD
 
 WINDOW = 10
 
+MATCHES = "array<struct<item:string,start:int,item_start:int,length:int>>"
+
 # Most bytes of benchmark text that go to the tasks in one block.
 BLOCK_BYTES = 64 << 20
 
@@ -47,16 +51,19 @@ class Block:
     singles: np.ndarray  # sorted numbers of words that are a whole item
     windows: np.ndarray  # (n, WINDOW) word numbers, 0 past the end of short items, sorted
     lengths: np.ndarray  # words of each window
-    items: list[list[str]]  # ids of the items that hold the window
+    owner_at: np.ndarray  # where the owners of each window begin in the next two
+    owner: np.ndarray  # number of the item row
+    owner_start: np.ndarray  # where in the item the window begins
+    ids: list[str]  # id of each item row
 
 
 def make_block(items: list[tuple[str, bytes]], window: int = WINDOW) -> Block:
     vocabulary: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set[str]] = {}
-    for item_id, raw in items:
+    owners: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+    for number, (_, raw) in enumerate(items):
         w = [vocabulary.setdefault(x, len(vocabulary) + 1) for x in words_of(raw)]
         for i in range(max(1, len(w) - window + 1) if w else 0):
-            owners.setdefault(tuple(w[i : i + window]), set()).add(item_id)
+            owners.setdefault(tuple(w[i : i + window]), []).append((number, i))
     rows = sorted(owners)
     matrix = np.zeros((len(rows), window), np.int32)
     for k, r in enumerate(rows):
@@ -64,7 +71,9 @@ def make_block(items: list[tuple[str, bytes]], window: int = WINDOW) -> Block:
     lengths = np.array([len(r) for r in rows], np.int32)
     base = len(vocabulary) + 1
     pairs = np.unique(matrix[lengths > 1, 0].astype(np.int64) * base + matrix[lengths > 1, 1]) if window > 1 else np.zeros(0, np.int64)
-    return Block(vocabulary, pairs, np.unique(matrix[lengths == 1, 0]), matrix, lengths, [sorted(owners[r]) for r in rows])
+    flat = np.array([o for r in rows for o in owners[r]], np.int32).reshape(-1, 2)
+    owner_at = np.cumsum([0, *(len(owners[r]) for r in rows)])
+    return Block(vocabulary, pairs, np.unique(matrix[lengths == 1, 0]), matrix, lengths, owner_at, flat[:, 0], flat[:, 1], [i for i, _ in items])
 
 
 def rank_keys(rows: np.ndarray) -> np.ndarray:
@@ -112,6 +121,29 @@ def find_in_shard(block: Block, codes: np.ndarray, window: int = WINDOW) -> tupl
     return place, which
 
 
+def longest_matches(block: Block, place: np.ndarray, which: np.ndarray) -> dict[str, tuple[int, int, int]]:
+    """Per item id the longest verbatim match of a document: (length, place, place in the item); the earliest of equals.
+
+    ``place`` and ``which`` are the document's window matches.
+    """
+    n = block.owner_at[which + 1] - block.owner_at[which]
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(block.owner_at[which], n)
+    place, which = np.repeat(place, n), np.repeat(which, n)
+    item, start = block.owner[at], block.owner_start[at]
+    order = np.lexsort((place, place - start, item))
+    item, start, place, which = item[order], start[order], place[order], which[order]
+    # a run goes on while item and diagonal stay and the place moves by one
+    new = np.ones(len(item), bool)
+    new[1:] = (np.diff(item) != 0) | (np.diff(place) != 1) | (np.diff(start) != 1)
+    first = np.flatnonzero(new)
+    length = np.diff(np.append(first, len(item))) - 1 + block.lengths[which[first]]
+    out: dict[str, tuple[int, int, int]] = {}
+    for k, size in zip(first.tolist(), length.tolist()):
+        match, name = (-size, int(place[k]), int(start[k])), block.ids[item[k]]
+        out[name] = min(out.get(name, match), match)
+    return {name: (-size, p, q) for name, (size, p, q) in out.items()}
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -122,22 +154,26 @@ def decontaminate(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items, items_sha256, longest, contaminated.
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, longest, contaminated, hits, matches.
 
     A window is ``window`` consecutive words of an item; an item of fewer words,
     but not none, is one window.  A document word inside any occurrence of a
-    window is hit.  ``items`` are the ids of items with occurring windows, as
-    strings in sorted order, ``items_sha256`` the hash of these joined by commas
-    (of the empty string for none).  ``longest`` is the longest run of hit words
-    (0 without one).  Null texts have no words; items with null text or id are
-    read alike, a null id as ``null``.  Empty tables on either side are fine.
+    window is hit; ``hits`` are the runs of hit words (start, end).  ``matches``
+    has one entry per item with an occurring window, in the order of the ids as
+    strings: its longest verbatim match (item, start, item_start, length, in
+    words), the earliest of equally long ones; matches are at least a window long.  ``items_sha256`` is the
+    hash of the ids joined by commas (of the empty string for none), ``longest``
+    the length of the longest match (0 without one).  Null texts have no
+    words; items with null text or id are read alike, a null id as ``null``; rows
+    that share an id are one item.  Empty tables on either side are fine.
     """
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
-    longest = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: F.greatest(n, (h["end"] - h["start"]).cast("long")))
+    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).cast("long")
+    ids = F.transform("matches", lambda m: m["item"])
     return matched(slim, benchmark, "text", item_text, item_id, window, block_bytes).select(
-        "row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items",
-        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), longest.alias("longest"), (hit > 0).alias("contaminated"),
+        "row.doc_id", "n_words", hit.alias("n_hit"), F.size("matches").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", ids).cast("binary"), 256).alias("items_sha256"), longest.alias("longest"), (hit > 0).alias("contaminated"), "hits", "matches",
     )
 
 
@@ -147,10 +183,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, text: str, item_text: str, item_id: str, window: int, block_bytes: int) -> DataFrame:
-    """Rows (row, hits, items, n_words): each document with its hit word intervals and item ids, gathered block by block."""
+    """Rows (row, hits, matches, n_words): each document with its hit word intervals and the longest match of each item, gathered block by block."""
     out = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("hits"),
-        F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).cast("long").alias("n_words"),
+        F.expr(f"cast(array() as {MATCHES})").alias("matches"), F.lit(0).cast("long").alias("n_words"),
     )
     at = docs.columns.index(text)
     for block in blocks_of(benchmark, item_text, item_id, window, block_bytes):
@@ -171,8 +207,9 @@ def blocks_of(benchmark: DataFrame, item_text: str, item_id: str, window: int, b
 
 
 def with_block(rows: DataFrame, text_at: int, shared, window: int) -> DataFrame:
-    """Add the matches of one block to ``hits`` and ``items``."""
+    """Add the matches of one block to ``hits`` and ``matches``.  Rows of one item id are in one block."""
     hit_kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    match_kind = pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32())]))
 
     def task(batches):
         yield from map(shard, arrow_pieces(batches, SHARD_BYTES))
@@ -190,9 +227,9 @@ def with_block(rows: DataFrame, text_at: int, shared, window: int) -> DataFrame:
         for s, c in zip(begin, numbers):
             codes[s : s + len(c)] = c
         place, which = find_in_shard(block, codes, window)
-        hits, items = t.column("hits"), t.column("items")
+        hits, matches = t.column("hits"), t.column("matches")
         if len(place):
-            hits, items = hits.to_pylist(), items.to_pylist()
+            hits, matches = hits.to_pylist(), matches.to_pylist()
             doc = np.searchsorted(begin, place, side="right") - 1
             order = np.lexsort((place, doc))
             doc, place, which = doc[order], place[order], which[order]
@@ -201,9 +238,11 @@ def with_block(rows: DataFrame, text_at: int, shared, window: int) -> DataFrame:
                 d = doc[a]
                 first = place[a:e] - begin[d]
                 hits[d] = merge(hits[d], first, first + block.lengths[which[a:e]])
-                items[d] = sorted(set(items[d]).union(*(block.items[k] for k in np.unique(which[a:e]))))
-            hits, items = pa.array(hits, hit_kind), pa.array(items, pa.list_(pa.string()))
-        return pa.RecordBatch.from_arrays([t.column("row"), hits, items, pa.array(lens)], ["row", "hits", "items", "n_words"])
+                best = longest_matches(block, first, which[a:e])
+                own = [{"item": i, "start": p, "item_start": q, "length": n} for i, (n, p, q) in best.items()]
+                matches[d] = sorted(matches[d] + own, key=lambda m: m["item"])
+            hits, matches = pa.array(hits, hit_kind), pa.array(matches, match_kind)
+        return pa.RecordBatch.from_arrays([t.column("row"), hits, matches, pa.array(lens)], ["row", "hits", "matches", "n_words"])
 
     return rows.mapInArrow(task, rows.schema)
 

@@ -21,17 +21,28 @@ from starloom.llm.common import arrow_map
 # Fixed phrases and labels of the base scan.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# The method's own notices: text, label, edits allowed (insertions, deletions, substitutions together).
+# The method's own notices: words of the text, label, edits allowed (insertions, deletions, substitutions together).
+# Phrases of the licenses themselves.
 NOTICES = [
     ("gnu general public license", "gpl-like", 3),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu", "gpl-like", 6),
+    ("this program is distributed in the hope that it will be useful but without any warranty", "gpl-like", 6),
     ("gnu lesser general public license", "lgpl-like", 3),
+    ("gnu affero general public license", "agpl-like", 3),
     ("apache license", "apache-like", 1),
+    ("licensed under the apache license version 2 0", "apache-like", 4),
+    ("you may not use this file except in compliance with the license", "apache-like", 5),
     ("mit license", "mit-like", 1),
+    ("permission is hereby granted free of charge", "mit-like", 4),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "mit-like", 8),
     ("mozilla public license", "mpl-like", 2),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl-like", 5),
     ("creative commons attribution", "cc-by-like", 3),
-    ("permission is hereby granted free of charge", "mit-like", 4),
     ("redistribution and use in source and binary forms", "bsd-like", 4),
-    ("licensed under the apache license version 2 0", "apache-like", 4),
+    ("redistributions of source code must retain the above copyright notice", "bsd-like", 5),
+    ("eclipse public license", "epl-like", 2),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc-like", 6),
+    ("this is free and unencumbered software released into the public domain", "unlicense-like", 5),
     ("all rights reserved", "reserved-like", 2),
 ]
 
@@ -70,39 +81,43 @@ def exact_places(flat: bytes, phrase: bytes) -> list[int]:
 
 
 def fuzzy_spans(flat: bytes, notice) -> list[tuple[int, int, int]]:
-    """Places (start, end, edits) in ``flat`` where the notice stands with at most its edits.
+    """Places (start, end, edits) in ``flat`` where the notice stands with at most its edits, ascending, none inside another.
 
-    Candidate windows that touch are searched as one, so a match is found once;
-    the best match of each window part comes first, then what follows it.
+    Each seed gives a window of bounded size, so the work follows the seeds.
+    Windows are taken from left to right, each from the end of the last span.  In a window the
+    best match counts first, then what lies before and after it is searched in the
+    same way, so notices side by side are all found.
     """
     parts, pattern, _, edits, length = notice
-    windows: list[list[int]] = []
     spots = set()
     for piece, offset in parts:
         at = flat.find(piece)
         while at >= 0:
             spots.add(at - offset)
             at = flat.find(piece, at + 1)
+    found: list[tuple[int, int, int]] = []
     for s in sorted(spots):
-        lo, hi = max(0, s - edits), min(len(flat), s + length + 2 * edits)
-        if windows and lo <= windows[-1][1]:
-            windows[-1][1] = max(hi, windows[-1][1])
-        else:
-            windows.append([lo, hi])
-    found = []
-    for lo, hi in windows:
-        text = flat[lo:hi].decode("latin-1")
-        for m in regex.finditer(pattern, text):
-            # a match starts and ends at word bounds: "licenses" is not "license" with an edit inside a longer word
-            a, b = lo + m.start(), lo + m.end()
-            while a < b and flat[a : a + 1] == b" ":
-                a += 1
-            while b > a and flat[b - 1 : b] == b" ":
-                b -= 1
-            found.append((a, b, sum(m.fuzzy_counts)))
+        lo = max(0, s - edits, found[-1][1] if found else 0)
+        found += best_matches(flat, pattern, lo, min(len(flat), s + length + 2 * edits), length - edits)
     return found
 
 
+def best_matches(flat: bytes, pattern: str, lo: int, hi: int, least: int) -> list[tuple[int, int, int]]:
+    """Matches within flat[lo:hi], the best one first and then those beside it; spaces at their ends are left out."""
+    if hi - lo < least:
+        return []
+    m = regex.search(pattern, flat[lo:hi].decode("latin-1"))
+    if not m:
+        return []
+    a, b = lo + m.start(), lo + m.end()
+    before, after = best_matches(flat, pattern, lo, a, least), best_matches(flat, pattern, b, hi, least)
+    while flat[a : a + 1] == b" ":
+        a += 1
+    while flat[b - 1 : b] == b" ":
+        b -= 1
+    return [*before, (a, b, sum(m.fuzzy_counts)), *after]
+
+
 def scan_licenses(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", phrases: dict[str, str] = PHRASES, notices: list[tuple[str, str, int]] = NOTICES
 ) -> DataFrame:

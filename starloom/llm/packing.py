@@ -6,8 +6,8 @@ sources and one of its clusters.  Documents go in by decreasing size; the bins
 are ordered by what is left in them, and the search starts at the smallest one
 that fits and goes on to the next larger until a compatible bin is found.
 
-Documents are dealt to packing groups of bounded size by a hash, and each group
-is packed by itself; only ids, sizes, sources and clusters move, no texts.
+Documents are dealt to packing groups of bounded size by a hash of their
+contents and row number, and each group is packed by itself; only ids, sizes, sources and clusters move, no texts.
 """
 
 from __future__ import annotations
@@ -43,21 +43,30 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) ->
                 bit_of[kind, v] = 1 << len(bit_of)
     order: list[tuple[int, int]] = []  # (room left, bin), ascending
     taken: list[int] = []  # the source and cluster bitmaps of each bin, side by side
+    keys: list[list] = []  # the same marks, one by one
+    open_with: Counter = Counter()  # bins in ``order`` that hold a mark
     out = []
     for size, s, c in zip(sizes, sources, clusters):
-        marks = bit_of.get(("s", s), 0) | bit_of.get(("c", c), 0)
+        own = [m for m in (("s", s), ("c", c)) if m in bit_of]
+        marks = sum(bit_of[m] for m in own)
         at = bisect.bisect_left(order, (size, -1))
+        if any(open_with[m] == len(order) for m in own):
+            at = len(order)  # every open bin conflicts
         while at < len(order) and taken[order[at][1]] & marks:
             at += 1
         if at < len(order):
             room, k = order.pop(at)
-            taken[k] |= marks
+            open_with.subtract(keys[k])
         else:
             room, k = capacity, len(taken)
-            taken.append(marks)
+            taken.append(0)
+            keys.append([])
+        taken[k] |= marks
+        keys[k] += own
         out.append((k, capacity - room))
         if room > size:
             bisect.insort(order, (room - size, k))
+            open_with.update(keys[k])
     return out
 
 
@@ -113,6 +122,7 @@ def pack(
         F.col(f"`{source}`").cast("string").alias("source"), cluster.cast("long").alias("cluster"),
     )
     groups = max(1, -(-docs.count() // group_docs))
-    rows = rows.withColumn("pack", F.pmod(F.xxhash64("doc_id", "n_bytes", "cluster"), F.lit(groups)))
+    # the row's number spreads repeated rows over the groups
+    rows = rows.withColumn("pack", F.pmod(F.xxhash64("doc_id", "n_bytes", "cluster", F.monotonically_increasing_id()), F.lit(groups)))
     schema = schema_of([("doc_id", rows.schema["doc_id"].dataType), *[(c, "long") for c in ("bin_id", "bin_offset", "piece", "piece_size", "piece_start")]])
     return rows.groupBy("pack").applyInArrow(lambda g: pack_group(g, capacity), schema)

@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialize
+
 # Character classes of the patterns: space and x09-x0D end a word.
 WHITE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
@@ -153,4 +155,5 @@ def score_quality(
     # whole numbers on both sides: the verdict is exact
     kept = ~F.col("base_failed") & (F.col("total") >= round(least_ratio * SCALE) * F.col("n_grams"))
     ratio = F.when(F.col("n_grams") > 0, F.col("total") / (F.col("n_grams") * SCALE)).otherwise(0.0)
-    return rows.select(*names, "base_failed", kept.alias("kept"), "n_grams", ratio.alias("ratio"))
+    # written: a filter on the verdict must not be pushed below the arrays, where lambdas would compute them for each element
+    return materialize(rows.select(*names, "base_failed", kept.alias("kept"), "n_grams", ratio.alias("ratio")))

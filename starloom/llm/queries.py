@@ -116,9 +116,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-@query("op9_benchmark_decontamination")
+_WORDS = f"regexp_extract_all({_FOLD.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op9_benchmark_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    iw AS (SELECT item_id, p, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS k
+      FROM i, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) t(p)),
+    dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS k FROM d, (SELECT DISTINCT n FROM iw) s, unnest(range(1, len(w) - n + 2)) t(p)),
+    h AS (SELECT doc_id, dw.p AS p, item_id, iw.p AS q, n FROM dw JOIN iw USING (k, n)),
+    g AS (SELECT doc_id, count(DISTINCT p + x) AS n_hit FROM h, unnest(range(0, n)) t(x) GROUP BY doc_id),
+    r AS (SELECT doc_id, n, p - row_number() OVER (PARTITION BY doc_id, item_id, p - q ORDER BY p) AS run, item_id, p - q AS diagonal FROM h),
+    m AS (SELECT doc_id, max(length) AS longest FROM (SELECT doc_id, count(*) + any_value(n) - 1 AS length FROM r GROUP BY doc_id, item_id, diagonal, run) GROUP BY doc_id),
+    o AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+      coalesce(longest, 0) AS longest, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN o USING (doc_id)
+    """,
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits", "matches")
 
 
 @query("op10_suffix_array_dedup")

@@ -1,6 +1,7 @@
 """Operators on small hostile inputs: nulls, empty and long texts, ties, repeated rows, clashing names, empty tables."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -363,11 +364,52 @@ def test_licenses(spark, rows):
     assert out[902].labels == "gpl-like" and 0.9 < out[902].score < 1
     assert (out[903].n_base, out[903].last_word) == (3, 4)
     assert out[904].n_base == 0 and (out[905].n_words, out[905].first_word) == (30_002, 30_000)
+    assert {(s.start, s.end, s.edits) for s in out[901].spans if s.label == "apache-like"} >= {(19, 33, 1)}
     plain = got(license_scan.scan_licenses(frame(spark, rows)), "doc_id", "n_words", "n_base")
     assert plain == sorted(((i, len(brute.words(t)), 0) for i, t in rows), key=str)
     assert license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def distances(notice, text):
+    """For each end in ``text`` the least edits of the notice against any part that ends there, and the longest such part's start (Sellers)."""
+    row = [(0, j) for j in range(len(text) + 1)]
+    for c in notice:
+        new = [(row[0][0] + 1, 0)]
+        for j, d in enumerate(text, 1):
+            new.append(min((row[j - 1][0] + (c != d), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+        row = new
+    return row
+
+
+def test_all_spans_of_neighbouring_notices():
+    """Every part of a text within the edits of a notice meets a span of it, and every span is within its edits."""
+    rng = random.Random(12)
+    notices = license_scan.compile_notices([("apache license", "a", 1), ("gnu general public license", "g", 3), ("mit license", "m", 1)])
+    texts = [b" apache licence apache license ", b" mit licence mit license mitlicense ", b" apache license apache license apache licens "]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            t = list(rng.choice(["apache license", "gnu general public license", "mit license", "of the", "licens"]))
+            for _ in range(rng.randint(0, 3)):
+                k = rng.randrange(len(t))
+                t[k] = rng.choice(["", "x", t[k] + "y", " "])
+            parts.append("".join(t))
+        texts.append((" " + " ".join(parts) + " ").encode())
+    found = 0
+    for flat in texts:
+        for notice in notices:
+            text, edits = {"a": b"apache license", "g": b"gnu general public license", "m": b"mit license"}[notice[2]], notice[3]
+            spans = license_scan.fuzzy_spans(flat, notice)
+            assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+            for a, b, n in spans:
+                assert n <= edits and min(d for d, _ in distances(text, flat[max(0, a - 1) : b + 1])) <= n
+            for end, (d, start) in enumerate(distances(text, flat)):
+                assert d > edits or any(a < end and start < b for a, b, _ in spans), (flat, notice[2], start, end, spans)
+            found += len(spans)
+    assert found > 80
+    assert [x[:2] for x in license_scan.fuzzy_spans(texts[0], notices[0])] == [(1, 15), (16, 30)]
+
+
 def test_urls(spark):
     urls = {
         "http://example.net/en/1": ("block-or-allow", "example.net/en/", "allow"),
@@ -410,6 +452,36 @@ def test_globs_agree_with_patterns():
     assert hit.tolist() == [[bool(pattern(g).match(t)) for g in globs] for t in texts]
 
 
+def longest_common(w, items, window=10):
+    """Per item id (length, start, item start) of the longest run of words in both, if it holds a window."""
+    out = {}
+    for i, t in items:
+        v, best = brute.words(t), None
+        run = [0] * (len(v) + 1)
+        for a, x in enumerate(w):
+            run = [0] + [run[b] + 1 if x == y else 0 for b, y in enumerate(v)]
+            for b, n in enumerate(run):
+                if n >= min(window, max(1, len(v))):
+                    key = (-n, a + 1 - n, b - n)
+                    best = min(best or key, key)
+        if best:
+            out["null" if i is None else str(i)] = (-best[0], best[1], best[2])
+    return out
+
+
+def test_many_equal_rows_pack_in_bounded_time(spark):
+    """100 000 equal rows: no two share a bin, and no group takes them all."""
+    df = spark.range(100_000).selectExpr("cast(null as long) AS doc_id", "'' AS text", "cast(null as string) AS source").repartition(4)
+    out = packing.pack(df)
+    per_group = out.groupBy((packing.F.col("bin_id") / (1 << 32)).cast("long")).count().agg(packing.F.max("count"), packing.F.sum("count")).first()
+    assert per_group[0] < 2 * packing.GROUP_DOCS and per_group[1] == 100_000
+    assert out.select("bin_id").distinct().count() == 100_000
+    # one group of equal items needs no scan of the bins
+    t0 = time.perf_counter()
+    placed = packing.best_fit([1] * 20_000, [None] * 20_000, [7] * 20_000, 8192)
+    assert len({k for k, _ in placed}) == 20_000 and time.perf_counter() - t0 < 5
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 400])
 def test_decontamination(spark, rows, texts, block_bytes):
     items = [(1, " ".join((texts[-1].split())[50:70])), (20, "énnti"), (3, texts[40]), (4, None), (5, ""), (6, "ti wh"), (11, texts[-1][:300]), (None, texts[2])]
@@ -422,6 +494,11 @@ def test_decontamination(spark, rows, texts, block_bytes):
     names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     df = frame(spark, rows)
     assert got(decontam.decontaminate(df, bench, block_bytes=block_bytes), *names) == sorted(want, key=str)
+    matches = {str(r.doc_id) + str(r.n_words): r for r in decontam.decontaminate(df, bench, block_bytes=block_bytes).collect()}
+    for i, t in rows:
+        w, r = brute.words(t), matches[str(i) + str(len(brute.words(t)))]
+        assert {m.item: (m.length, m.start, m.item_start) for m in r.matches} == longest_common(w, items)
+        assert r.longest == max([m.length for m in r.matches], default=0)
     kept = decontam.drop_contaminated(df, bench, block_bytes=block_bytes)
     assert kept.columns == df.columns
     assert sorted((str(r.doc_id) for r in kept.collect())) == sorted(str(x[0]) for x in want if not x[5])
