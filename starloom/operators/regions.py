@@ -3,7 +3,8 @@
 A search is a small driver-side object.  On a table it becomes one predicate.
 Cones and polygons test the bounding box of positions first, pixels test ranges
 of the order-29 index; both are plain comparisons that reach the Parquet scan
-and prune files and row groups.  The exact test follows.
+and prune files and row groups.  The exact test follows.  On a stored catalog
+cones and polygons choose tiles by their pixel cover.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions import healpix
+from starloom.functions import geometry, healpix
 from starloom.functions.sphere import inside_convex, separation_arcsec
 
 
@@ -28,9 +29,24 @@ def dec_band(dec, lo: float, hi: float) -> Column:
     return d.between(lo, hi)
 
 
+def merged_ranges(pixels) -> list[tuple[int, int]]:
+    """Half-open index ranges of (order, pixel) tiles in ascending order, those that touch made one."""
+    out: list[list[int]] = []
+    for lo, hi in sorted(healpix.pixel_range(p, o) for o, p in pixels):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [tuple(r) for r in out]
+
+
 @dataclass(frozen=True)
 class ConeSearch:
-    """Positions within ``radius_arcsec`` of a point; ``fine=False`` keeps the bounding box only."""
+    """Positions within ``radius_arcsec`` of a point.
+
+    ``fine=False`` is the coarse search: on a stored catalog whole tiles that the
+    cone meets, on a plain table the bounding box.
+    """
 
     ra: float
     dec: float
@@ -48,6 +64,14 @@ class ConeSearch:
     def boxes(self) -> list[BoxSearch]:
         return [self.box()]
 
+    def ranges(self) -> list[tuple[int, int]]:
+        """Index ranges that hold every point of the cone."""
+        return merged_ranges(geometry.cone_cover(self.ra, self.dec, self.radius_arcsec))
+
+    def tiles(self, order: int) -> list[int]:
+        """Pixels of one order that the cone meets, rows or not."""
+        return geometry.cone_tiles(self.ra, self.dec, self.radius_arcsec, order)
+
     def predicate(self, ra: str, dec: str) -> Column:
         coarse = self.box().predicate(ra, dec)
         if not self.fine:
@@ -91,6 +115,10 @@ class PolygonSearch:
 
     vertices: tuple[tuple[float, float], ...]
 
+    def ranges(self) -> list[tuple[int, int]]:
+        """Index ranges that hold every point of the polygon."""
+        return merged_ranges(geometry.polygon_cover(list(self.vertices)))
+
     def boxes(self) -> list[BoxSearch]:
         """The box of a cone around all vertices; a convex polygon smaller than half the sky lies inside."""
         xyz = [
@@ -126,13 +154,7 @@ class PixelSearch:
 
     def ranges(self) -> list[tuple[int, int]]:
         """Merged half-open index ranges in ascending order."""
-        out: list[list[int]] = []
-        for lo, hi in sorted(healpix.pixel_range(p, o) for o, p in self.pixels):
-            if out and lo <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], hi)
-            else:
-                out.append([lo, hi])
-        return [tuple(r) for r in out]
+        return merged_ranges(self.pixels)
 
     def predicate(self, ra: str | None = None, dec: str | None = None) -> Column:
         c = F.col(self.index)
@@ -156,15 +178,12 @@ def search(df: DataFrame, region, ra: str = "ra", dec: str = "dec") -> DataFrame
     return df.where(region.predicate(ra, dec))
 
 
-def search_tiles(df: DataFrame, region: ConeSearch, order: int, ra: str = "ra", dec: str = "dec", index: str = "healpix29") -> DataFrame:
-    """Coarse search: every row of each tile that holds at least one row of the region.
+def search_tiles(df: DataFrame, region: ConeSearch, order: int, index: str = "healpix29") -> DataFrame:
+    """Coarse search: every row of each tile of ``order`` that the region meets, whether or not the tile holds a row of the region.
 
-    The tile list is a grouped aggregate joined back as a semi join, so it may
-    be of any size.
+    The tiles become ranges of the index, plain comparisons that reach the scan.
     """
-    tile = healpix.ancestor(index, order)
-    hit = df.where(region.predicate(ra, dec)).select(tile.alias("__tile")).distinct()
-    return df.withColumn("__tile", tile).join(hit, "__tile", "left_semi").drop("__tile")
+    return df.where(PixelSearch(tuple((order, p) for p in region.tiles(order)), index).predicate())
 
 
 def coverage_filter(df: DataFrame, coverage: DataFrame, index: str = "healpix29") -> DataFrame:

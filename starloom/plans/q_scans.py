@@ -179,9 +179,9 @@ def collection_open(t):
     path = scratch_path(t.spark, "collection")
     info = catalogs.CatalogInfo(**OBJ_INFO, default_columns=["objectId", "dec", "r_psfFlux"])
     catalogs.write_collection(t("sky_object"), path, info, margin_arcsec=600.0)
-    col = catalogs.open_collection(t.spark, path)
+    col = catalogs.open_collection(t.spark, path, filters=[("dec", ">", 0)])
     ids = col.index.select("objectId")
-    return col.main.where("dec > 0").join(ids, "objectId", "left_semi").select("objectId", rnd("r_psfFlux").alias("r_psfFlux"))
+    return col.main.join(ids, "objectId", "left_semi").select("objectId", rnd("r_psfFlux").alias("r_psfFlux"))
 
 
 @query("publication_json", _tiled_sql("SELECT 'objects' AS label, CAST((SELECT sum(n) FROM tiles) AS BIGINT) AS num_rows, (SELECT count(*) FROM tiles) AS num_partitions, 6 AS num_columns"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.healpix import ancestor, with_healpix
 from starloom.functions.sphere import propagate, separation_arcsec
-from starloom.operators import match, regions, tiling
+from starloom.operators import coverage, match, regions, tiling
 from starloom.operators.ordered import percentiles
 from starloom.plans.q_scans import HEALPIX_CTES, OBJ_INFO, TILE_CTES, _PAIR, _tiled_sql
 from starloom.plans.registry import query, rnd
@@ -107,12 +107,114 @@ def moc_filter(t):
     return positions(regions.coverage_filter(df, coarse.unionByName(fine)))
 
 
-@query("cone_coarse", hp(3) + f" SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM hp WHERE pixel IN (SELECT pixel FROM hp WHERE {dist(200.0, 23.0)} <= 54000)")
+def pixel_grid_sql(order: int) -> str:
+    """CTE grid: all pixels of an order with base pixel, column, row, and the two constants of the base pixel."""
+    bits = lambda k: f"list_sum(list_transform(range({order}), lambda i: ((p >> (2 * i + {k})) & 1) << i))"
+    return (
+        f"grid AS (SELECT p, CAST({bits(0)} AS BIGINT) AS x, CAST({bits(1)} AS BIGINT) AS y, 2 + f // 4 AS rf, "
+        f"CASE WHEN f // 4 = 1 THEN 2 * (f % 4) ELSE 2 * (f % 4) + 1 END AS lf FROM (SELECT p, p >> {2 * order} AS f FROM range({12 * 4**order}) g(p)))"
+    )
+
+
+def cone_sample_sql(ra: float, dec: float, radius: float, order: int) -> str:
+    """CTEs grid and met: the pixels of an order whose centre lies in the cone."""
+    ns = 1 << order
+    return (
+        f"{pixel_grid_sql(order)}, ring AS (SELECT p, x, y, lf, rf * {ns} - x - y - 1 AS r FROM grid), "
+        f"wide AS (SELECT *, least({ns}, r, 4 * {ns} - r) AS w FROM ring), "
+        f"centre AS (SELECT p, degrees(asin(CASE WHEN r < {ns} THEN 1 - w * w / (3e0 * {ns} * {ns}) WHEN r > {3 * ns} THEN w * w / (3e0 * {ns} * {ns}) - 1 "
+        f"ELSE (2 * {ns} - r) * 2 / (3e0 * {ns}) END)) AS dec, 45e0 * (lf * w + x - y) / w AS ra FROM wide), "
+        f"met AS (SELECT p FROM centre WHERE {dist(ra, dec)} <= {radius})"
+    )
+
+
+@query("cone_coarse", hp(3) + f", {cone_sample_sql(200.0, 23.0, 54000.0, 8)} SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM hp WHERE pixel IN (SELECT p >> 10 FROM met)")
 def cone_coarse(t):
     df = with_healpix(t("sky_object"), "ra", "dec")
     return positions(regions.search_tiles(df, regions.ConeSearch(200.0, 23.0, 54000.0), 3))
 
 
+def _stored(t, label: str, threshold: int = 40) -> str:
+    path = scratch_path(t.spark, label)
+    catalogs.write_catalog(t("sky_object"), path, catalogs.CatalogInfo(**(OBJ_INFO | {"threshold": threshold})))
+    return path
+
+
+@query(
+    "cone_coarse_stored",
+    hp(5) + ", " + TILE_CTES.format(max=5, thr=40) + f", {cone_sample_sql(300.0, -41.0, 60000.0, 8)} "
+    "SELECT objectId, CAST(ord AS INT) AS Norder, CAST(pix AS INT) AS Npix FROM hp JOIN tiles ON hp.pixel >> (2 * (5 - ord)) = pix "
+    "WHERE EXISTS (SELECT 1 FROM met WHERE met.p >> (2 * (8 - ord)) = pix)",
+)
+def cone_coarse_stored(t):
+    """Whole stored tiles that the cone meets, read through their partition folders alone."""
+    found = catalogs.open_catalog(t.spark, _stored(t, "coarse"), ["objectId", "Norder", "Npix"], region=regions.ConeSearch(300.0, -41.0, 60000.0, fine=False))
+    return found.select("objectId", "Norder", "Npix")
+
+
+@query("cone_stored", f"SELECT objectId, R6(ra) AS ra, R6(dec) AS dec FROM sky_object WHERE {dist(350.0, 80.0)} <= 72000")
+def cone_stored(t):
+    return positions(catalogs.open_catalog(t.spark, _stored(t, "cone"), ["objectId", "ra", "dec"], region=regions.ConeSearch(350.0, 80.0, 72000.0)))
+
+
+@query("polygon_stored", _poly_sql())
+def polygon_stored(t):
+    return positions(catalogs.open_catalog(t.spark, _stored(t, "polygon"), ["objectId", "ra", "dec"], region=regions.PolygonSearch(_POLY)))
+
+
+_MAPS = "hp5 AS (SELECT pixel, dec, r_psfFlux FROM hp JOIN sky_object USING (objectId, dec))"
+_MAP_A, _MAP_B = "SELECT DISTINCT pixel >> 2 AS c FROM hp5 WHERE r_psfFlux > 2000", "SELECT DISTINCT pixel >> 4 AS c FROM hp5 WHERE dec > 0"
+
+
+def _maps(t):
+    """Two coverage maps of different orders, the first with its tiles named twice at two orders."""
+    df = with_healpix(t("sky_object"), "ra", "dec")
+    tiles = lambda rows, order: rows.select(F.lit(order).alias("order"), ancestor("healpix29", order).alias("pixel")).distinct()
+    bright = df.where("r_psfFlux > 2000")
+    return tiles(bright, 4).unionByName(tiles(bright, 5)), tiles(df.where("dec > 0"), 3)
+
+
+@query(
+    "moc_algebra",
+    hp(5) + f""", {_MAPS}, a AS (SELECT c * 4 + i AS p FROM ({_MAP_A}), range(4) r(i)), b AS (SELECT c * 16 + i AS p FROM ({_MAP_B}), range(16) r(i))
+    SELECT 'union' AS how, p AS pixel FROM (SELECT p FROM a UNION SELECT p FROM b) UNION ALL
+    SELECT 'intersection', p FROM (SELECT p FROM a INTERSECT SELECT p FROM b) UNION ALL
+    SELECT 'difference', p FROM (SELECT p FROM a EXCEPT SELECT p FROM b) UNION ALL
+    SELECT 'symmetric_difference', p FROM ((SELECT p FROM a EXCEPT SELECT p FROM b) UNION (SELECT p FROM b EXCEPT SELECT p FROM a))""",
+)
+def moc_algebra(t):
+    a, b = _maps(t)
+    out = None
+    for how in ("union", "intersection", "difference", "symmetric_difference"):
+        found = coverage.combine(a, b, how)
+        cells = found.select(F.lit(how).alias("how"), F.explode(F.sequence(F.shiftright("lo", 48), F.shiftright(F.col("hi") - 1, 48))).alias("pixel"))
+        out = cells if out is None else out.unionByName(cells)
+    return out
+
+
+@query(
+    "moc_tiles",
+    hp(5) + f""", {_MAPS}, f AS (SELECT c * 4 + i AS p FROM ({_MAP_A}), range(4) r(i) UNION SELECT c * 16 + i FROM ({_MAP_B}), range(16) r(i)),
+    lv AS (SELECT o, p >> (2 * (5 - o)) AS q, count(*) AS n FROM f, range(6) l(o) GROUP BY 1, 2),
+    whole AS (SELECT o, q FROM lv WHERE n = 4 ** (5 - o) AND o >= 4)
+    SELECT CAST(w.o AS INT) AS "order", w.q AS pixel FROM whole w LEFT JOIN whole u ON u.o = w.o - 1 AND u.q = w.q >> 2 WHERE u.q IS NULL""",
+)
+def moc_tiles(t):
+    """The union of two maps as tiles, as coarse as the cells of the sweep allow."""
+    return coverage.to_tiles(coverage.combine(*_maps(t), "union"), 5)
+
+
+@query(
+    "moc_tree_filter",
+    _tiled_sql("SELECT DISTINCT CAST(ord AS INT) AS Norder, pix AS Npix, n AS rows FROM tiles JOIN (SELECT pixel FROM hp JOIN sky_object USING (objectId) WHERE r_psfFlux > 8000) b ON b.pixel >> (2 * (5 - ord)) = pix"),
+)
+def moc_tree_filter(t):
+    """Tiles of one catalog that overlap the coverage of another, trees of different orders."""
+    own = _tiles(t, 40, 5).select(F.col("order").alias("Norder"), F.col("pixel").alias("Npix"), F.col("n").alias("rows"))
+    other = with_healpix(t("sky_object").where("r_psfFlux > 8000"), "ra", "dec")
+    return coverage.tiles_within(own, other.select(F.lit(7).alias("order"), ancestor("healpix29", 7).alias("pixel")).distinct())
+
+
 @query(
     "stacked_regions",
     f"SELECT 'object' AS origin, objectId AS id FROM sky_object WHERE {dist(200.0, 23.0)} <= 90000 AND dec > 15 UNION ALL SELECT 'other', otherId FROM sky_other WHERE {dist(200.0, 23.0)} <= 90000 AND dec >= 15",
@@ -171,11 +273,31 @@ def crossmatch_suffix(t):
     return m.select("objectId", rnd("ra_obj").alias("ra_obj"), rnd("ra_oth").alias("ra_oth"), rnd("meanFlux").alias("meanFlux"), "refBand")
 
 
-_H, _R = 5.0, 0.5
+_AT = 6
 
 
 @query(
     "margin_halo",
+    hp(_AT) + ", " + TILE_CTES.format(max=_AT, thr=40) + f""", {pixel_grid_sql(_AT)},
+      c0 AS (SELECT p, rf * {1 << _AT} - x - dx - y - dy AS r, x + dx - y - dy AS d, lf FROM grid, range(2) a(dx), range(2) b(dy)),
+      corner AS (SELECT p, r, CASE WHEN w = 0 THEN 0 ELSE ((lf * w + d) % (8 * w) + 8 * w) % (8 * w) END AS k FROM (SELECT *, least({1 << _AT}, r, {4 << _AT} - r) AS w FROM c0)),
+      edge AS (SELECT DISTINCT ord, pix, r, k FROM tiles JOIN corner ON corner.p >> (2 * ({_AT} - ord)) = pix)
+      SELECT DISTINCT objectId, CAST(ord AS INT) AS Norder, CAST(pix AS INT) AS Npix FROM hp JOIN corner ON corner.p = hp.pixel JOIN edge USING (r, k)
+      WHERE hp.pixel >> (2 * ({_AT} - ord)) <> pix""",
+)
+def margin_halo(t):
+    """The margin of every tile of a stored catalog; the oracle finds touching pixels by their common corners."""
+    path = scratch_path(t.spark, "halo")
+    info = catalogs.CatalogInfo(**(OBJ_INFO | {"threshold": 40, "max_order": _AT}))
+    catalogs.write_collection(t("sky_object"), path, info, margin_arcsec=1200.0, margin_at=_AT)
+    return catalogs.open_collection(t.spark, path, ["objectId", "Norder", "Npix"]).margin.select("objectId", "Norder", "Npix")
+
+
+_H, _R = 5.0, 0.5
+
+
+@query(
+    "margin_cells",
     f"""WITH z AS (SELECT o.*, zn.z AS zone, floor((dec + 90) / {_H}) AS home FROM sky_object o, range(36) zn(z)
          WHERE zn.z BETWEEN floor((greatest(-90e0, dec - {_R}e0) + 90) / {_H}) AND floor((least(90e0, dec + {_R}e0) + 90) / {_H})),
        n AS (SELECT *, greatest(1, floor(360 * cos(radians(least(90e0, greatest(abs(zone * {_H} - 90), abs(zone * {_H} + {_H} - 90))))) / {_H})) AS nc,
@@ -186,7 +308,7 @@ _H, _R = 5.0, 0.5
          OR (g.c + 1) * 360 / nc >= ra - w - 360 AND g.c * 360 / nc <= ra + w - 360))
        SELECT objectId, CAST(zone AS BIGINT) AS zone, CAST(cell AS BIGINT) AS cell FROM c WHERE NOT (zone = home AND cell = floor(ra / 360 * hn) % hn)""",
 )
-def margin_halo(t):
+def margin_cells(t):
     m = match.margin_rows(t("sky_object"), "ra", "dec", _R * 3600, _H)
     return m.select("objectId", F.col("margin_zone").alias("zone"), F.col("margin_cell").alias("cell"))
 
