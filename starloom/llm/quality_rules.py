@@ -38,7 +38,7 @@ TRUSTED_DOCS = 20_000
 SCALE = 1 << 16
 
 # A document stays if its mean log-likelihood ratio per gram is at least this.
-LEAST_RATIO = -0.06
+LEAST_RATIO = -0.075
 
 
 def words_of(text: Column) -> Column:

@@ -152,7 +152,7 @@ def test_quality_rules(spark):
         counts = base_counts(t)[1]
         failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
         total = sum(weight[b] for b in g)
-        want.append((i, *counts, failed, not failed and total >= round(-0.06 * 65536) * len(g), len(g), total / (len(g) * 65536) if g else 0.0))
+        want.append((i, *counts, failed, not failed and total >= round(quality_rules.LEAST_RATIO * 65536) * len(g), len(g), total / (len(g) * 65536) if g else 0.0))
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_grams", "ratio")
     out = quality_rules.score_quality(docs, labels, buckets=buckets)
     assert sorted(map(tuple, out.select(*names).collect()), key=str) == sorted(want, key=str)
