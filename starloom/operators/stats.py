@@ -5,10 +5,15 @@ All are plain aggregates with map-side combination; results per group are small.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.ordered import percentiles, same_keys
+from starloom.operators.ordered import is_hot, percentiles, same_keys
+
+# Rows whose groups a task clips at a time; a larger group is held alone.
+CLIP_ROWS = 200_000
 
 
 def _missing(df: DataFrame, c: str) -> Column:
@@ -126,14 +131,89 @@ def count_mismatch(a: DataFrame, b: DataFrame, keys: list[str], name_a: str = "n
     return both.where(~F.col(name_a).eqNullSafe(F.col(name_b)))
 
 
-def sigma_clip(df: DataFrame, keys: list[str], value: str, n_sigma: float = 5.0) -> DataFrame:
+def sigma_clip(df: DataFrame, keys: list[str], value: str, n_sigma: float = 5.0, hot_rows: int | None = None) -> DataFrame:
     """Drop rows at ``n_sigma`` sample deviations or more from the group mean until nothing changes.
 
-    Only per-group limits change between passes.  A pass is one combining
-    aggregate over the rows of the groups that still lost rows in the pass
-    before; settled groups are not read again.  The limits are written per pass,
-    which keeps plans short and lets a pass be repeated when executors are lost.
-    Each pass removes a row at least, so the loop ends by itself.
+    Only the limits of each group change between passes, and they only narrow.
+    Keys and values are shuffled once; a task runs all passes over its groups in
+    memory and returns two limits per group, which then filter the rows.  Groups
+    beyond ``hot_rows`` rows are never gathered: there each pass is a combining
+    aggregate.  Null values go, unless the group has no limits (fewer than two values).
+    """
+    narrow = _clip_in_tasks if not is_hot(df, keys, hot_rows) else _clip_by_aggregates
+    inside = F.col("__lo").isNull() | ((F.col(value) > F.col("__lo")) & (F.col(value) < F.col("__hi")))
+    return same_keys(df, narrow(df, keys, value, n_sigma), keys, "inner").where(inside).drop("__lo", "__hi")
+
+
+def clip_limits(group: np.ndarray, x: np.ndarray, n_groups: int, n_sigma: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Final limits of each group, and which groups have none: those of fewer than two values.  ``group`` numbers the values' groups."""
+    lo, hi = np.full(n_groups, -np.inf), np.full(n_groups, np.inf)
+    before = np.bincount(group, minlength=n_groups)
+    few = before < 2
+    while len(x):
+        n = np.bincount(group, minlength=n_groups)
+        mean = np.bincount(group, x, n_groups) / np.maximum(n, 1)
+        spread = np.sqrt(np.bincount(group, (x - mean[group]) ** 2, n_groups) / np.maximum(n - 1, 1))
+        # one value left narrows nothing
+        known = n > 1
+        lo, hi = np.where(known, np.maximum(lo, mean - n_sigma * spread), lo), np.where(known, np.minimum(hi, mean + n_sigma * spread), hi)
+        keep = (x > lo[group]) & (x < hi[group])
+        after = np.bincount(group[keep], minlength=n_groups)
+        live = keep & (after != n)[group]
+        group, x = group[live], x[live]
+    return lo, hi, few
+
+
+def _clip_in_tasks(df: DataFrame, keys: list[str], value: str, n_sigma: float) -> DataFrame:
+    """Limits (keys, __lo, __hi); rows are dealt and sorted by key, so a task sees each group as one run."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("__x"))
+    schema = rows.drop("__x").schema.add("__lo", "double").add("__hi", "double")
+
+    def first_rows(t: pa.Table) -> np.ndarray:
+        change = np.zeros(t.num_rows, bool)
+        change[0] = True
+        for k in keys:
+            change[1:] |= np.diff(t[k].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()) != 0
+        return np.flatnonzero(change)
+
+    def settle(t: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, t.num_rows)))
+        known = t["__x"].is_valid().to_numpy()
+        lo, hi, none = clip_limits(group[known], t["__x"].drop_null().to_numpy(), len(first), n_sigma)
+        heads = t.select(keys).take(pa.array(first))
+        limits = [pa.array(v, pa.float64(), mask=none) for v in (lo, hi)]
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in heads.columns), *limits], schema.names)
+
+    def task(batches):
+        held, size, enough = [], 0, CLIP_ROWS
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            size += b.num_rows
+            if size < enough:
+                continue
+            # the last group may go on in the next batch
+            t = pa.Table.from_batches(held)
+            first = first_rows(t)
+            if len(first) > 1:
+                yield settle(t.slice(0, first[-1]), first[:-1])
+            held = t.slice(first[-1]).to_batches()
+            size = t.num_rows - int(first[-1])
+            enough = CLIP_ROWS + size
+        if held:
+            t = pa.Table.from_batches(held)
+            yield settle(t, first_rows(t))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(task, schema)
+
+
+def _clip_by_aggregates(df: DataFrame, keys: list[str], value: str, n_sigma: float) -> DataFrame:
+    """Limits (keys, __lo, __hi) by one combining aggregate per pass over the groups that still lose rows.
+
+    The limits are written per pass, which keeps plans short and lets a pass be
+    repeated when executors are lost.  Each pass removes a row at least, so the
+    loop ends by itself.
     """
     from starloom.session import materialize
 
@@ -155,4 +235,4 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, n_sigma: float = 5.0)
         settled = done if settled is None else settled.unionByName(done)
         open_ = both.where("not __done").select(*keys, F.col("__n2").alias("__n"), F.col("__lo2").alias("__lo"), F.col("__hi2").alias("__hi"))
         if not open_.limit(1).count():
-            return same_keys(df, settled, keys, "inner").where(inside).drop("__lo", "__hi")
+            return settled

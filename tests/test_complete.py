@@ -34,9 +34,27 @@ def test_clipping_runs_until_stable(spark):
             break
         left = new
     df = spark.createDataFrame([(1, v) for v in values] + [(2, 1.0), (2, 2.0), (3, 5.0)], "g int, v double")
-    out = stats.sigma_clip(df, ["g"], "v", 1.8)
-    assert sorted(r.v for r in out.where("g = 1").collect()) == sorted(left)
-    assert out.where("g > 1").count() == 3
+    for hot in (1000, 10):
+        out = stats.sigma_clip(df, ["g"], "v", 1.8, hot)
+        assert sorted(r.v for r in out.where("g = 1").collect()) == sorted(left)
+        assert out.where("g > 1").count() == 3
+
+
+def test_clipping_in_tasks_equals_clipping_by_aggregates(spark, monkeypatch):
+    """Many groups, null keys and values, groups over several batches; every row of a kept group comes back once."""
+    rng = np.random.default_rng(6)
+    rows = [(int(g) if g else None, "ab"[g % 2], float(v), k) for k, (g, v) in enumerate(zip(rng.integers(0, 40, 3000), rng.standard_t(1.5, 3000)))]
+    rows += [(7, None, None, 9000), (None, None, 1.0, 9001), (8, None, 3.0, 9002), (8, None, 3.0, 9003)]
+    df = spark.createDataFrame(rows, "g int, h string, v double, id long").repartition(5)
+    monkeypatch.setattr(stats, "CLIP_ROWS", 100)
+    want = sorted(r.id for r in stats.sigma_clip(df, ["g", "h"], "v", 2.0, 10).collect())
+    for batch in ("10000", "64"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            assert sorted(r.id for r in stats.sigma_clip(df, ["g", "h"], "v", 2.0).collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert 1000 < len(want) < 2900 and stats.sigma_clip(df.limit(0), ["g"], "v").count() == 0
 
 
 def test_equal_times_keep_their_light_curve(spark):
