@@ -1,8 +1,9 @@
 """Statistics over all pairs of a light curve that running totals cannot give.
 
 A light curve is packed and its pairs are walked in blocks of bounded size
-inside the task that holds it; no pair leaves the task and none is kept beyond
-its block.  Order statistics come from repeated passes: each narrows the
+inside the task that holds it; no pair leaves the task and, but for ties at
+the edges of equal counts, none is kept beyond its block.  Longer curves than
+``LONG`` are dealt to many tasks by ``long_curves``.  Order statistics come from repeated passes: each narrows the
 interval of a wanted rank by a histogram until few values are left in it.
 """
 
@@ -14,7 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.ordered import costly_tasks
+from starloom.operators.ordered import costly_tasks, largest_group, same_keys
+from starloom.session import hot_rows
+
+# Points of the longest light curve that one task walks alone.
+LONG = 5_000
 
 # Pairs in one block, values that a last pass may collect per rank, and cells of a histogram.
 BLOCK_PAIRS = 2_000_000
@@ -193,12 +198,22 @@ def bootstrap(t, tie, f, e2, edges: list[float], replicates: int, seed: int) ->
     return out
 
 
-def per_light_curve(df: DataFrame, keys: list[str], fn, fields: list[tuple[str, T.DataType]], time: str, value: str, tie: str, err: str | None = None) -> DataFrame:
-    """Rows (keys, *fields) from ``fn(t, tie, f, e2)`` of each light curve, sorted by time and tie; rows without time or value are left out."""
+def per_light_curve(df: DataFrame, keys: list[str], fn, dealt, fields: list[tuple[str, T.DataType]], time: str, value: str, tie: str, err: str | None = None) -> DataFrame:
+    """Rows (keys, *fields) from ``fn(t, tie, f, e2)`` of each light curve, sorted by time and tie; rows without time or value are left out.
+
+    Curves of more than ``LONG`` points go to ``dealt``, a function of a ``LongCurves``.
+    """
     e2 = F.col(err) * F.col(err) if err else F.lit(0.0)
-    rows = df.select(*keys, F.struct(F.col(time).cast("double").alias("t"), F.col(tie).cast("long").alias("tie"), F.col(value).cast("double").alias("f"), e2.cast("double").alias("e2")).alias("p"))
-    rows = rows.where(F.col("p.t").isNotNull() & F.col("p.f").isNotNull())
-    lists = rows.repartition(costly_tasks(df, keys), *keys).groupBy(*keys).agg(F.array_sort(F.collect_list("p")).alias("lc"))
+    rows = df.select(*keys, F.col(time).cast("double").alias("t"), F.col(tie).cast("long").alias("tie"), F.col(value).cast("double").alias("f"), e2.cast("double").alias("e2"))
+    rows = rows.where(F.col("t").isNotNull() & ~F.isnan("t") & F.col("f").isNotNull())
+    tasks, limit, long = costly_tasks(df, keys), min(LONG, hot_rows(df.sparkSession)), None
+    if largest_group(df, keys) > limit:
+        from starloom.operators.long_curves import LongCurves
+
+        curves = LongCurves(rows, keys, limit)
+        long = dealt(curves)
+        rows = same_keys(rows, curves.groups.select(*keys), keys, "left_anti")
+    lists = rows.withColumn("p", F.struct("t", "tie", "f", "e2")).repartition(tasks, *keys).groupBy(*keys).agg(F.array_sort(F.collect_list("p")).alias("lc"))
     lists = lists.select(*keys, *[F.col("lc")[c].alias(f"__{c}") for c in ("t", "tie", "f", "e2")])
     schema = T.StructType([f for f in lists.schema.fields if f.name in keys] + [T.StructField(n, k) for n, k in fields])
 
@@ -211,4 +226,5 @@ def per_light_curve(df: DataFrame, keys: list[str], fn, fields: list[tuple[str,
                 out += [(*own, *r) for r in fn(*columns)]
             yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
-    return lists.mapInPandas(run, schema)
+    short = lists.mapInPandas(run, schema)
+    return short if long is None else short.unionByName(long.select(*short.columns))

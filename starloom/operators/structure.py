@@ -255,7 +255,7 @@ def sf_equal_count(df: DataFrame, nbins: int, keys=KEYS, time: str = "mjd", valu
     Median lag, sqrt(mean squared difference), count.  Pairs of equal times do not count.
     """
     fields = [("bin", T.IntegerType()), ("SF", T.DoubleType()), ("N", T.LongType()), ("tau_median", T.DoubleType())]
-    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.equal_count(t, v, f, nbins), fields, time, value, tie)
+    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.equal_count(t, v, f, nbins), lambda c: c.equal_count(nbins), fields, time, value, tie)
 
 
 def sf_median(df: DataFrame, nbins: int, keys=KEYS, time: str = "mjd", value: str = "psfFlux", tie: str = "visit") -> DataFrame:
@@ -264,7 +264,7 @@ def sf_median(df: DataFrame, nbins: int, keys=KEYS, time: str = "mjd", value: st
     Bin centres are geometric means of the edges; the last edge is exclusive.
     """
     fields = [("bin", T.IntegerType()), ("tau", T.DoubleType()), ("SF", T.DoubleType())]
-    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.log_median(t, v, f, nbins), fields, time, value, tie)
+    return pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.log_median(t, v, f, nbins), lambda c: c.log_median(nbins), fields, time, value, tie)
 
 
 def sf_ensemble(df: DataFrame, edges: list[float], mag: str, keys=KEYS, min_pairs: int = 10, **kw) -> DataFrame:
@@ -301,5 +301,7 @@ def sf2_bootstrap(df: DataFrame, edges: list[float], keys=KEYS, replicates: int
     replacement.  ``tie`` is a whole number that tells rows apart.
     """
     fields = [("bin", T.IntegerType()), ("n", T.LongType()), ("sf2", T.DoubleType()), ("lower", T.DoubleType()), ("upper", T.DoubleType())]
-    g = pairs.per_light_curve(df, list(keys), lambda t, v, f, e2: pairs.bootstrap(t, v, f, e2, [float(e) for e in edges], replicates, seed), fields, time, value, tie, err)
+    edges = [float(e) for e in edges]
+    one = lambda t, v, f, e2: pairs.bootstrap(t, v, f, e2, edges, replicates, seed)
+    g = pairs.per_light_curve(df, list(keys), one, lambda c: c.bootstrap(edges, replicates, seed), fields, time, value, tie, err)
     return g.withColumn("sigma", (F.col("upper") - F.col("lower")) / 2)
