@@ -13,10 +13,10 @@ from starloom.operators import nested
 from starloom.operators.match import matched_ids
 from starloom.operators.regions import BoxSearch, ConeSearch, StackedSearch
 from starloom.operators.stats import column_statistics
-from starloom.plans.registry import query, rnd
+from starloom.plans.registry import query, rnd, scatter_sql
 from starloom.session import scratch_path
 from starloom.streaming.chunks import consume_until, read_chunks
-from starloom.sources import catalogs, readers, storage
+from starloom.sources import catalogs, previews, readers, storage
 
 OBJ_INFO = dict(name="objects", ra_column="ra", dec_column="dec", id_column="objectId", threshold=40, max_order=5)
 
@@ -184,6 +184,41 @@ def collection_open(t):
     return col.main.join(ids, "objectId", "left_semi").select("objectId", rnd("r_psfFlux").alias("r_psfFlux"))
 
 
+_PLACED = """placed AS (SELECT *, row_number() OVER (ORDER BY pix << CAST(2 * (29 - ord) AS BIGINT)) - 1 AS i FROM tiles),
+ member AS (SELECT hp.objectId, hp.ra, placed.i, {hash} AS h FROM hp JOIN placed ON placed.pix = (hp.pixel >> CAST(2 * (5 - placed.ord) AS BIGINT)))""".format(hash=scatter_sql("objectId", 11))
+
+
+def _sampled(t):
+    path = scratch_path(t.spark, "sampled")
+    catalogs.write_catalog(t("sky_object"), path, catalogs.CatalogInfo(**OBJ_INFO))
+    previews.write_samples(t.spark, path, F.expr(scatter_sql("objectId", 11)), k=30, tie=["objectId"])
+    return path
+
+
+@query("preview_tail", HEALPIX_CTES.format(order=29, ns=1 << 29, mask=(1 << 29) - 1) + " SELECT objectId, R6(ra) AS ra FROM hp ORDER BY pixel DESC, objectId DESC LIMIT 100")
+def preview_tail(t):
+    path = scratch_path(t.spark, "catalog")
+    catalogs.write_catalog(t("sky_object"), path, catalogs.CatalogInfo(**OBJ_INFO))
+    return previews.tail(t.spark, path, 100, ["objectId"]).select("objectId", rnd("ra").alias("ra"))
+
+
+@query("partition_pick", _tiled_sql("").rstrip() + f", {_PLACED} SELECT objectId, R6(ra) AS ra FROM member WHERE i = 3")
+def partition_pick(t):
+    path = scratch_path(t.spark, "catalog")
+    catalogs.write_catalog(t("sky_object"), path, catalogs.CatalogInfo(**OBJ_INFO))
+    return previews.partition(t.spark, path, 3).select("objectId", rnd("ra").alias("ra"))
+
+
+@query("sample_partition", _tiled_sql("").rstrip() + f", {_PLACED} SELECT objectId, R6(ra) AS ra FROM member WHERE i = 3 ORDER BY h, objectId LIMIT 5")
+def sample_partition(t):
+    return previews.sample(t.spark, _sampled(t), 3, 5).select("objectId", rnd("ra").alias("ra"))
+
+
+@query("sample_random", _tiled_sql("").rstrip() + f", {_PLACED} SELECT objectId, R6(ra) AS ra FROM member ORDER BY h, objectId LIMIT 25")
+def sample_random(t):
+    return previews.random_sample(t.spark, _sampled(t), 25).select("objectId", rnd("ra").alias("ra"))
+
+
 @query("publication_json", _tiled_sql("SELECT 'objects' AS label, CAST((SELECT sum(n) FROM tiles) AS BIGINT) AS num_rows, (SELECT count(*) FROM tiles) AS num_partitions, 6 AS num_columns"))
 def publication_json(t):
     path = scratch_path(t.spark, "catalog")

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _OPS = {
     "==": lambda c, v: c == v,
@@ -81,15 +86,20 @@ def pinned_schema(spark: SparkSession, template: str, columns: list[str], dimens
     return T.StructType(fields + [T.StructField(d, T.LongType()) for d in dimensions if d not in columns])
 
 
-def manifest_scan(spark: SparkSession, manifest: DataFrame, columns: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
+def manifest_scan(
+    spark: SparkSession, manifest: DataFrame, columns: list[str] | None = None, schema: T.StructType | None = None, max_paths: int = 10_000, tasks: int | None = None
+) -> DataFrame:
     """Read the files listed in ``manifest`` (path plus dimension columns).
 
     Each row gets its file's dimension values unless the data has the column.
-    The file list is driver metadata (Spark needs the paths to plan a scan);
-    the values come from a join on the file name, without a forced broadcast.
+    Up to ``max_paths`` files become one scan, whose paths the driver holds; the
+    values come from a join on the file name, without a forced broadcast.  More
+    files stay rows of the manifest, and tasks open them (``manifest_blocks``).
     """
-    paths = [r["path"] for r in manifest.select("path").distinct().toLocalIterator()]
+    paths = [r["path"] for r in manifest.select("path").distinct().limit(max_paths + 1).collect()]
     reader = spark.read.schema(schema) if schema is not None else spark.read
+    if len(paths) > max_paths:
+        return manifest_blocks(manifest, schema if schema is not None else reader.parquet(paths[0]).schema, columns, tasks)
     df = reader.parquet(*paths)
     if columns:
         df = df.select(*columns)
@@ -100,6 +110,61 @@ def manifest_scan(spark: SparkSession, manifest: DataFrame, columns: list[str] |
     return df.select("*", key.alias("__path")).join(m, "__path").drop("__path")
 
 
+# Row groups that one task should read.
+GROUPS_PER_TASK = 16
+
+
+def manifest_blocks(manifest: DataFrame, schema: T.StructType, columns: list[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """``manifest_scan`` for any number of files: the driver never sees the paths.
+
+    Tasks read the footers of their manifest rows; the row groups found are dealt
+    anew, so a large file is read by several tasks.  Only the wanted columns are
+    read, and columns that a file lacks are null.  Paths are those that Arrow's
+    file systems know (local, hdfs, s3, gs); ``path`` may be a URI or a plain path.
+    """
+    picked = T.StructType([schema[c] for c in columns]) if columns else schema
+    dims = [f for f in manifest.schema.fields if f.name != "path" and f.name not in picked.names]
+    out = T.StructType(picked.fields + dims)
+    files = manifest.select("path", *[f.name for f in dims])
+
+    def footers(batches):
+        for b in batches:
+            for k, path in enumerate(b.column("path").to_pylist()):
+                with _open_parquet(path) as file:
+                    n = file.metadata.num_row_groups
+                if n:
+                    one = b.slice(k, 1).take(pa.array([0] * n))
+                    yield pa.RecordBatch.from_arrays([*one.columns, pa.array(range(n), pa.int32())], [*one.schema.names, "__group"])
+
+    arrow = to_arrow_schema(out)
+
+    def read(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                with _open_parquet(row["path"]) as file:
+                    have = [c for c in picked.names if c in file.schema_arrow.names]
+                    for part in file.iter_batches(row_groups=[row["__group"]], columns=have):
+                        n = part.num_rows
+                        cols = [part.column(f.name).cast(arrow.field(f.name).type) if f.name in have else pa.nulls(n, arrow.field(f.name).type) for f in picked.fields]
+                        cols += [pa.array([row[f.name]] * n, arrow.field(f.name).type) for f in dims]
+                        yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+
+    listed = files.mapInArrow(footers, T.StructType([*files.schema.fields, T.StructField("__group", T.IntegerType())]))
+    if tasks is None:
+        tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, -(-manifest.count() // GROUPS_PER_TASK))
+    return listed.repartition(tasks, "path", "__group").mapInArrow(read, out)
+
+
+def _open_parquet(path: str) -> pq.ParquetFile:
+    """A Parquet file by its plain path or its URI, neither percent-encoded."""
+    if path.startswith("file:"):
+        return pq.ParquetFile("/" + path[5:].lstrip("/"))
+    if not re.match(r"^[a-z0-9]+:/", path):
+        return pq.ParquetFile(path)
+    system, name = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    return pq.ParquetFile(system.open_input_file(name))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, constants: dict[str, object] | None = None) -> DataFrame:
     """CSV with header and a declared schema; names lower-cased, constant columns added."""
     df = spark.read.csv(path, header=True, schema=schema)
