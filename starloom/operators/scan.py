@@ -30,6 +30,34 @@ from starloom.session import hot_rows
 
 BLOCK = 4096
 _CELLS = 2_000_000
+# Grids of more points than WIDE are summed by transforms of WIDE_BLOCK points (a multiple of BLOCK).
+WIDE = 16_384
+WIDE_BLOCK = 1 << 18
+# Points to either side on which an observation is spread; twelve give some twelve digits.
+_SPREAD = 12
+
+
+def even_sums(x: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
+    """Sums of c * exp(2 pi i k x) for k = 0 .. n - 1, by spreading the points onto an even grid (Greengard & Lee 2004).
+
+    Each point becomes a narrow Gaussian on a grid of twice ``n`` cells; one
+    transform and a division by the Gaussian's own transform give the sums.
+    """
+    half = 1 << max(4, int(n - 1).bit_length() - 1)
+    cells = 4 * half
+    tau = np.pi * _SPREAD / (3 * (2.0 * half) ** 2)
+    x = x - np.floor(x)
+    c = c * np.exp(2j * np.pi * half * x)
+    grid = np.zeros(cells, complex)
+    near = np.arange(-_SPREAD + 1, _SPREAD + 1)
+    for lo in range(0, len(x), _CELLS // 64):
+        u, v = x[lo : lo + _CELLS // 64], c[lo : lo + _CELLS // 64]
+        at = np.floor(u * cells).astype(np.int64)[:, None] + near
+        gauss = np.exp(-((2 * np.pi * (u[:, None] - at / cells)) ** 2) / (4 * tau)) * v[:, None]
+        at = (at % cells).ravel()
+        grid += np.bincount(at, gauss.real.ravel(), cells) + 1j * np.bincount(at, gauss.imag.ravel(), cells)
+    k = np.arange(n) - half
+    return np.fft.ifft(grid)[k % cells] * (np.sqrt(np.pi / tau) * np.exp(tau * k.astype(float) ** 2))
 
 
 @dataclass(frozen=True)
@@ -59,6 +87,9 @@ class LombScargle:
         return ok
 
     def sums(self, t, y, w, k, g):
+        if len(k) > BLOCK:
+            zw, z2 = self.wide_sums(t, y, w, k, g)
+            return self.six(zw, z2, w)
         # k is a run of consecutive grid points: exp(i x) of an even grid is a
         # product of two short tables, far cheaper than one sine per cell
         tau = 2j * np.pi * (t - self.t_ref)
@@ -67,7 +98,15 @@ class LombScargle:
         fine = np.exp(np.outer(np.arange(m) * g["step"], tau))
         z = (coarse[:, None, :] * fine[None, :, :]).reshape(-1, len(t))[: len(k)]
         zw = z @ np.stack([w, w * y], axis=1)
-        z2 = (z * z) @ w
+        return self.six(zw, (z * z) @ w, w)
+
+    def wide_sums(self, t, y, w, k, g):
+        d = t - self.t_ref
+        first = np.exp(2j * np.pi * self.freq(k[0], g) * d)
+        zw = np.stack([even_sums(g["step"] * d, v * first, len(k)) for v in (w, w * y)], axis=1)
+        return zw, even_sums(2 * g["step"] * d, w * first * first, len(k))
+
+    def six(self, zw, z2, w):
         # cos^2 = (1 + cos 2x) / 2, cos sin = sin 2x / 2
         return np.stack([zw[:, 0].real, zw[:, 0].imag, (w.sum() + z2.real) / 2, z2.imag / 2, zw[:, 1].real, zw[:, 1].imag])
 
@@ -205,7 +244,8 @@ def _curve(row):
 
 
 def _blocks(model, n_points, nf):
-    size = max(1, min(BLOCK, _CELLS // max(1, n_points)))
+    wide = nf > WIDE and hasattr(model, "wide_sums")
+    size = WIDE_BLOCK if wide else max(1, min(BLOCK, _CELLS // max(1, n_points)))
     for lo in range(0, nf, size):
         yield np.arange(lo, min(nf, lo + size))
 
@@ -347,12 +387,16 @@ def scan_all(
                 g = {"f0": row.f0, "step": row.step}
                 sc = _scalars(t, y, w, ref)
                 nf = int(row.nf)
-                for lo in range(0, nf, BLOCK):
-                    ks = np.arange(lo, min(nf, lo + BLOCK))
-                    size = max(1, _CELLS // max(1, len(t)))
-                    p = np.concatenate([model.score(model.sums(t, y, w, k, g), sc[1], sc[2], sc[3]) for k in np.split(ks, range(size, len(ks), size))])
-                    scores = np.where(model.valid(ks, g) & np.isfinite(p), p, np.nan)
-                    out.append((*[getattr(row, c) for c in keys], lo, scores, row.f0, row.step, *sc[1:4]))
+                held, start = [], 0
+                for ks in _blocks(model, len(t), nf):
+                    p = model.score(model.sums(t, y, w, ks, g), sc[1], sc[2], sc[3])
+                    held.append(np.where(model.valid(ks, g) & np.isfinite(p), p, np.nan))
+                    # arrays start at multiples of BLOCK
+                    ready = np.concatenate(held)
+                    whole = len(ready) if ks[-1] == nf - 1 else len(ready) // BLOCK * BLOCK
+                    for lo in range(0, whole, BLOCK):
+                        out.append((*[getattr(row, c) for c in keys], start + lo, ready[lo : min(whole, lo + BLOCK)], row.f0, row.step, *sc[1:4]))
+                    held, start = [ready[whole:]], start + whole
                     if len(out) * BLOCK >= _CELLS:
                         yield pd.DataFrame(out, columns=cols)
                         out = []

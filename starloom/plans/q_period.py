@@ -56,6 +56,16 @@ def ls_best_period(t):
     return rounded(period.best_period(t("periodic_source"), ["objectId", "band"], fixed_grid(*GRID)).select("objectId", "band", "period", "power"))
 
 
+WIDE_NF = 40_000
+
+
+@query("ls_wide_grid", None)
+def ls_wide_grid(t):
+    """Best period of every light curve on a grid of 40 000 frequencies; points times grid are too many for SQL."""
+    grid = fixed_grid(F0, 2.99 / (WIDE_NF - 1), WIDE_NF)
+    return rounded(period.best_period(t("periodic_source"), ["objectId", "band"], grid).select("objectId", "band", "period", "power"))
+
+
 _AUTO = "(1 / 0.9e0 + k / (span * 5))"
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from starloom.functions import photometry as ph
 from starloom.functions.healpix import with_healpix
-from starloom.operators import series, stats
+from starloom.operators import series, sketches, stats
 from starloom.operators.columns import numeric_columns
 from starloom.operators.nested import flatten, pack
 from starloom.operators.ordered import first_row, percentiles, same_keys, top_k, with_stats
 from starloom.operators.regions import ConeSearch
 from starloom.plans.q_sky import dist, hp
 from starloom.plans.registry import query, rnd, scatter_sql
+from starloom.session import scratch_path
 
 MAG = "(31.4e0 - 2.5e0 * log10(psfFlux))"
 
@@ -63,6 +64,23 @@ def value_counts(t):
     return t("dia_source").groupBy("objectId").agg(F.count(F.lit(1)).alias("n")).where("n > 60")
 
 
+@query(
+    "sketches_merged",
+    """SELECT band, count(*) AS n, count(DISTINCT objectId) AS n_objects, true AS objects_within, true AS median_within FROM forced_source GROUP BY 1""",
+)
+def sketches_merged(t):
+    """Daily sketches are stored, then merged per band; estimates are held against exact counts and ranks."""
+    f = t("forced_source")
+    path = scratch_path(t.spark, "sketches")
+    sketches.sketch(f.withColumn("day", F.floor("mjd")), ["band", "day"], ["objectId"], ["psfFlux"]).write.parquet(path)
+    merged = sketches.estimates(sketches.merge(t.spark.read.parquet(path), ["band"]))
+    merged = merged.select("band", "distinct_objectId", F.col("quantiles_psfFlux")[0].alias("median"))
+    below = F.avg((F.col("psfFlux") <= F.col("median")).cast("double"))
+    exact = f.join(merged, "band").groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("objectId").alias("n_objects"), F.first("distinct_objectId").alias("d"), below.alias("r"))
+    within = (F.abs(F.col("d") / F.col("n_objects") - 1) < 0.1).alias("objects_within"), (F.abs(F.col("r") - 0.5) < 0.03).alias("median_within")
+    return exact.select("band", "n", "n_objects", *within)
+
+
 @query(
     "duplicate_rows",
     """WITH d AS (SELECT l_partkey AS part, CAST(floor((epoch_us(l_shipdate) / 86400e6 + 40587e0) / 30) AS BIGINT) AS epoch, l_suppkey AS objectId FROM lineitem),

@@ -51,3 +51,36 @@ def test_one_time_only(spark, monkeypatch):
     assert [(r[0], r[2], r[4], r[5]) for r in got] == [(2, k, len(c), 1.0) for k, c in enumerate(cut)]
     assert all(math.isclose(r[3], math.sqrt(sum(c) / len(c))) for r, c in zip(got, cut))
     assert structure.sf_median(df, 3).count() == 0
+
+
+def test_blocks_in_small_cells(monkeypatch):
+    """Counts and sums of a block do not depend on the cells it is walked in, closed forms included."""
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    t = np.sort(np.concatenate([rng.uniform(0, 50, 150), np.arange(150) * 0.5]))
+    one = {"t": t, "f": rng.normal(50, 2, 300).round(1), "e2": t * 0 + 0.1, "tie": rng.permutation(300)}
+    a, b = (long_curves.Curve({k: v[s] for k, v in one.items()}) for s in (slice(0, 170), slice(170, 300)))
+    row = {"r_prefix": [0], "r_bin": [0, 2], "lo": 0.001, "hi": 60.0, "nbins": 4, "edges": [0.5, 3.0, 3.0, 20.0]}
+    for p, q in ((a, a), (a, b)):
+        dt = q.t[None, :] - p.t[:, None]
+        d2, dt = ((q.f[None, :] - p.f[:, None]) ** 2)[dt > 0], dt[dt > 0]
+        lead = long_curves.bits(dt) >> 52
+        deep = {**row, "r_prefix": sorted(set(lead[[3, 400, 900]].tolist()))}
+        for step in (16, 1_000_000):
+            monkeypatch.setattr(long_curves, "STEP", step)
+            got = long_curves.lag_digits(p, q, row, 63, 52)
+            assert dict(zip(got.digit, got.n)) == pd.Series(lead).value_counts().to_dict()
+            got = long_curves.lag_digits(p, q, deep, 52, 41)
+            want = pd.Series(long_curves.bits(dt)[np.isin(lead, deep["r_prefix"])] >> 41).value_counts().to_dict()
+            assert dict(zip(got.prefix * 2048 + got.digit, got.n)) == want
+            got = long_curves.difference_digits(p, q, {**row, "r_prefix": [0, 0]}, 63, 52)
+            k = long_curves.log_bin(dt, 0.001, 60.0, 4)
+            assert got.groupby("bin").n.sum().to_dict() == {x: int((k == x).sum()) for x in (0, 2) if (k == x).any()}
+            got = long_curves.bin_sums(p, q, row)
+            on, inner = got[got.edge.notna()], got[got.edge.isna()]
+            tied = np.isin(dt, row["edges"])
+            assert on.n.sum() == tied.sum() and math.isclose(on.s.sum(), d2[tied].sum(), abs_tol=1e-9)
+            k = np.searchsorted(row["edges"], dt[~tied])
+            assert dict(zip(inner.bin, inner.n)) == pd.Series(k).value_counts().to_dict()
+            assert np.allclose(inner.s, [d2[~tied][k == x].sum() for x in inner.bin])
