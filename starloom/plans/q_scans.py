@@ -16,7 +16,7 @@ from starloom.operators.stats import column_statistics
 from starloom.plans.registry import query, rnd, scatter_sql
 from starloom.session import scratch_path
 from starloom.streaming.chunks import consume_until, read_chunks
-from starloom.sources import catalogs, previews, readers, storage
+from starloom.sources import catalogs, increments, previews, readers, storage
 
 OBJ_INFO = dict(name="objects", ra_column="ra", dec_column="dec", id_column="objectId", threshold=40, max_order=5)
 
@@ -184,6 +184,16 @@ def collection_open(t):
     return col.main.join(ids, "objectId", "left_semi").select("objectId", rnd("r_psfFlux").alias("r_psfFlux"))
 
 
+@query("import_batches", _tiled_sql("SELECT hp.objectId, R6(ra) AS ra, CAST(tiles.ord AS INT) AS Norder, tiles.pix AS Npix FROM hp JOIN tiles ON tiles.pix = (hp.pixel >> CAST(2 * (5 - tiles.ord) AS BIGINT))"))
+def import_batches(t):
+    """Three batches into one tiled table give the tiles of a single import."""
+    sky = t("sky_object")
+    table = increments.TiledTable(t.spark, scratch_path(t.spark, "batches"), catalogs.CatalogInfo(**OBJ_INFO), sky.schema)
+    for k in range(3):
+        table.import_batch(sky.where(F.col("objectId") % 3 == k), k)
+    return table.open().select("objectId", rnd("ra").alias("ra"), "Norder", "Npix")
+
+
 _PLACED = """placed AS (SELECT *, row_number() OVER (ORDER BY pix << CAST(2 * (29 - ord) AS BIGINT)) - 1 AS i FROM tiles),
  member AS (SELECT hp.objectId, hp.ra, placed.i, {hash} AS h FROM hp JOIN placed ON placed.pix = (hp.pixel >> CAST(2 * (5 - placed.ord) AS BIGINT)))""".format(hash=scatter_sql("objectId", 11))
 
