@@ -56,14 +56,19 @@ def ls_best_period(t):
     return rounded(period.best_period(t("periodic_source"), ["objectId", "band"], fixed_grid(*GRID)).select("objectId", "band", "period", "power"))
 
 
-WIDE_NF = 40_000
+# just above the grids that are summed directly
+WIDE_NF = 17_000
+WIDE_STEP = 2.99 / (WIDE_NF - 1)
 
 
-@query("ls_wide_grid", None)
+@query(
+    "ls_wide_grid",
+    f"WITH {ls_ctes('objectId', R_BAND, grid=f'({F0}e0 + k * {WIDE_STEP!r}e0)', nf=str(WIDE_NF))} SELECT objectId, R6(1 / arg_max(freq, power)) AS period, R6(max(power)) AS power FROM p GROUP BY 1",
+)
 def ls_wide_grid(t):
-    """Best period of every light curve on a grid of 40 000 frequencies; points times grid are too many for SQL."""
-    grid = fixed_grid(F0, 2.99 / (WIDE_NF - 1), WIDE_NF)
-    return rounded(period.best_period(t("periodic_source"), ["objectId", "band"], grid).select("objectId", "band", "period", "power"))
+    """Best period in one band on a grid wide enough for transforms."""
+    grid = fixed_grid(F0, WIDE_STEP, WIDE_NF)
+    return rounded(period.best_period(t("periodic_source").where("band = 'r'"), ["objectId"], grid).select("objectId", "period", "power"))
 
 
 _AUTO = "(1 / 0.9e0 + k / (span * 5))"
